@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The graph jobs this library rebuilds are batch jobs over edge files; they
+have no stream source, watermark, window or streaming state, so there is no
+streaming operator to provide.
+"""
