@@ -64,7 +64,8 @@ def ego_circles(ego_edges: DataFrame) -> DataFrame:
     """
     comp = ego_components(ego_edges)
     circles = (comp.groupBy("ego_id", "component")
-               .agg(F.array_join(F.sort_array(F.collect_list("id")), " ").alias("circle")))
+               .agg(F.array_join(F.transform(F.sort_array(F.collect_list("id")), lambda x: x.cast("string")),
+                                 " ").alias("circle")))
     return (circles.groupBy("ego_id")
             .agg(F.sort_array(F.collect_list(F.struct("component", "circle"))).alias("cs"))
             .select("ego_id", F.array_join(F.col("cs.circle"), ";").alias("circles")))

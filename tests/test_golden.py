@@ -93,3 +93,26 @@ def test_shortest_paths(spark, demo, weighted, want):
 def test_mean_path_length(spark, demo):
     approx_map(as_map(mean_path_length(demo, spark.range(1, 2), True), key="origin"), {1: 10.571429})
     approx_map(as_map(mean_path_length(demo, spark.range(1, 2), False), key="origin"), {1: 1.571429})
+
+
+def test_louvain_demo(spark):
+    from graphmill.operators.louvain import louvain
+    from tests.conftest import DEMO_EDGES
+    e = spark.createDataFrame([(a, b) for a, b, _ in DEMO_EDGES], "src long, dst long")
+    assign, hist = louvain(e)
+    h = [(r.level, round(r.q, 6), r.passes) for r in hist.orderBy("level").collect()]
+    assert h == [(0, 0.136364, 3), (1, 0.132231, 1)]
+    final = {r.id: r.community for r in assign.where("level = 1").collect()}
+    assert final == {1: 1, 2: 1, 3: 6, 4: 1, 5: 6, 6: 6, 7: 6}
+
+
+def test_louvain_cliques(spark):
+    from graphmill.operators.louvain import louvain
+    pairs = [(a, b) for a in range(1, 5) for b in range(a + 1, 5)] + \
+            [(a, b) for a in range(5, 9) for b in range(a + 1, 9)] + [(4, 5), (9, 10), (9, 11), (10, 11)]
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    assign, hist = louvain(e)
+    h = [(r.level, round(r.q, 6), r.passes) for r in hist.orderBy("level").collect()]
+    assert h == [(0, 0.572266, 3), (1, 0.419922, 1)]
+    lvl0 = {r.id: r.community for r in assign.where("level = 0").collect()}
+    assert lvl0 == {**{i: 2 for i in range(1, 5)}, **{i: 7 for i in range(5, 9)}, **{i: 10 for i in (9, 10, 11)}}
