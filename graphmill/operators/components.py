@@ -2,9 +2,11 @@
 
 Labels start as the vertex id and only decrease.  A round (1) sends the
 labels of vertices that changed in the previous round over their undirected
-edges and keeps the minimum per receiver, then (2) shortcuts every label to
-the label of its label vertex (pointer jumping), which collapses long chains
-in a logarithmic number of rounds instead of their length.  At the fixpoint
+edges and keeps the minimum per receiver, (2) hooks: a vertex that received
+a smaller label forwards it to the vertex its current label names, so whole
+label trees merge at once, and (3) shortcuts every label to the label of its
+label vertex (pointer jumping); (2) and (3) collapse long chains in far
+fewer rounds than their length.  At the fixpoint
 every vertex carries the least id of its component.  ``keys`` run many
 independent graphs (e.g. one per ego net) in the same jobs: a vertex is
 ``(keys..., id)``.
@@ -40,7 +42,13 @@ def connected_components(edges: DataFrame, keys: list[str] | None = None,
         sent = (labels.where("changed").select(*keys, F.col("id").alias("src"), "label")
                 .join(und, keys + ["src"])
                 .groupBy(*keys, F.col("dst").alias("id")).agg(F.min("label").alias("got")))
-        hop = (labels.select(*keys, "id", F.col("label").alias("old")).join(sent, keys + ["id"], "left")
+        old = labels.select(*keys, "id", F.col("label").alias("old"))
+        # hooking: a smaller label reaching v is also handed to v's current label vertex,
+        # so the whole tree hanging from that vertex moves at once
+        hook = (sent.join(old, keys + ["id"]).where(F.col("got") < F.col("old"))
+                .select(*keys, F.col("old").alias("id"), "got"))
+        got = sent.unionByName(hook).groupBy(*keys, "id").agg(F.min("got").alias("got"))
+        hop = (old.join(got, keys + ["id"], "left")
                .select(*keys, "id", "old", F.least("old", F.coalesce("got", "old")).alias("l1")))
         jump = hop.select(*keys, F.col("id").alias("l1"), F.col("l1").alias("l2"))
         nxt = (hop.join(jump, keys + ["l1"], "left")

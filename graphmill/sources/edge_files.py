@@ -74,7 +74,8 @@ def write_ego_nets(ego_edges: DataFrame, path: str, mode: str = "overwrite") ->
              .select("ego_id", F.concat(F.col("src").cast("string"), F.lit(": "),
                                         F.array_join(F.transform("d", lambda x: x.cast("string")), " "))
                      .alias("value")))
-    lines.write.mode(mode).partitionBy("ego_id").text(path)
+    # cluster each ego into one task so every ego folder gets one file, not one per task
+    lines.repartition("ego_id").write.mode(mode).partitionBy("ego_id").text(path)
 
 
 def write_vertices(vertices: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
