@@ -1,0 +1,68 @@
+"""Edge-list, weighted edge-list and ego-net files."""
+
+import os
+import tempfile
+
+import pytest
+
+from graphmill.sources import edge_files as io
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_edge_list_skips_comments_and_blank_lines(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    _write(f"{d}/e/part.txt", "# header\n\n1 2\n3\t1 99\n  4   4  \n2 1\n")
+    rows = sorted(tuple(r) for r in io.read_edge_list(spark, f"{d}/e").collect())
+    assert rows == [(1, 2, 1.0), (2, 1, 1.0), (3, 1, 1.0), (4, 4, 1.0)]
+    canon = sorted(tuple(r) for r in io.read_edge_list(spark, f"{d}/e", canonical=True).collect())
+    assert canon == [(1, 2, 1.0), (1, 2, 1.0), (1, 3, 1.0), (4, 4, 1.0)]
+
+
+def test_edge_list_malformed_line_fails(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    _write(f"{d}/e/part.txt", "1 2\n7\n")
+    with pytest.raises(Exception):
+        io.read_edge_list(spark, f"{d}/e").collect()
+
+
+def test_weighted_edge_list(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    _write(f"{d}/w/part.tsv", "1\t2\t0.5\n2\t3\t7\n")
+    rows = sorted(tuple(r) for r in io.read_weighted_edge_list(spark, f"{d}/w").collect())
+    assert rows == [(1, 2, 0.5), (2, 3, 7.0)]
+
+
+def test_ego_files(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    _write(f"{d}/ego/5.egonet", "5:\n6: \n7: 8 9\n")
+    _write(f"{d}/ego/12.egonet", "1: 2\n")
+    rows = sorted(tuple(r) for r in io.read_ego_nets(spark, f"{d}/ego").collect())
+    assert rows == [(5, 5, 5), (5, 6, 6), (5, 7, 8), (5, 7, 9), (12, 1, 2)]
+
+
+def test_ego_file_without_id_fails(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    _write(f"{d}/ego/abc.txt", "1: 2\n")
+    with pytest.raises(Exception):
+        io.read_ego_nets(spark, f"{d}/ego").collect()
+
+
+def test_writers_round_trip(spark, demo):
+    d = tempfile.mkdtemp(dir="/tmp")
+    io.write_edge_list(demo, f"{d}/plain")
+    io.write_edge_list(demo, f"{d}/weighted", weighted=True)
+    want = sorted(tuple(r) for r in demo.collect())
+    assert sorted(tuple(r) for r in io.read_weighted_edge_list(spark, f"{d}/weighted").collect()) == want
+    assert sorted(tuple(r) for r in io.read_edge_list(spark, f"{d}/plain").collect()) == \
+        sorted((a, b, 1.0) for a, b, _ in want)
+    ego = spark.createDataFrame([(3, 1, 2), (3, 1, 4), (3, 5, 5), (8, 2, 9)], "ego_id long, src long, dst long")
+    io.write_ego_nets(ego, f"{d}/ego")
+    back = io.read_ego_nets(spark, f"{d}/ego", pattern=r"ego_id=(\d+)")
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in ego.collect())
+    io.write_graph(demo.select("src").withColumnRenamed("src", "id").distinct(), demo, f"{d}/graph")
+    assert spark.read.parquet(f"{d}/graph/edges").count() == 11
