@@ -48,6 +48,20 @@ class StateStore:
         out = self.spark.read.schema(df.schema).parquet(path)
         return (out, dict(obs.get)) if obs is not None else out
 
+    def save_bucketed(self, df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+        """Write a loop-invariant input (e.g. the edges) as a table bucketed by ``keys``.
+
+        Joins on ``keys`` then read it without a shuffle: every round of a loop
+        moves only its (small) frontier to the edges' buckets instead of
+        re-shuffling all edges.  The files live in the shared state folder.
+        """
+        n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"graphmill_{name}_{uuid.uuid4().hex[:12]}"
+        path = f"{self.base}/{name}-{self._seq:05d}"
+        self._seq += 1
+        df.write.bucketBy(n, *keys).option("path", path).saveAsTable(table)
+        return self.spark.table(table)
+
     def _delete(self, path: str) -> None:
         # Best effort: free superseded rounds on the shared file system.
         try:

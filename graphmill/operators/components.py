@@ -30,7 +30,7 @@ def connected_components(edges: DataFrame, keys: list[str] | None = None,
     und = (e.select(*keys, "src", "dst").unionByName(
         e.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst")))
         .where(F.col("src") != F.col("dst")).distinct())
-    und = store.save(und, "edges")
+    und = store.save_bucketed(und, "edges", keys + ["src"])
     verts = e.select(*keys, F.explode(F.array("src", "dst")).alias("id")).distinct()
     labels, m = store.save(verts.select(*keys, "id", F.col("id").alias("label"), F.lit(True).alias("changed")),
                            "labels", changed=F.count(F.lit(1)))

@@ -26,8 +26,8 @@ def eigenvector(edges: DataFrame, max_iter: int = 100, num_iter: int | None = No
     store = StateStore(spark, "eigenvector")
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     # Parallel edges merge into one weighted edge: same sums, fewer rows per round.
-    e = store.save(edges.select("src", "dst", w.alias("w")).groupBy("src", "dst").agg(F.sum("w").alias("w")),
-                   "edges")
+    e = store.save_bucketed(
+        edges.select("src", "dst", w.alias("w")).groupBy("src", "dst").agg(F.sum("w").alias("w")), "edges", ["src"])
     verts, m = store.save(vertices_of(edges), "vertices", n=F.count(F.lit(1)))
     n = m["n"] or 0
     x = verts.select("id", F.lit(1.0 / n if n else 0.0).alias("x"))

@@ -35,8 +35,8 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
     e = edges.select("src", "dst")
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
     # Static part: edge share 1/outdeg, materialised once and reused by every round.
-    share = store.save(e.join(outdeg, "src").select("src", "dst", (1.0 / F.col("outdeg")).alias("share")),
-                       "edges")
+    share = store.save_bucketed(
+        e.join(outdeg, "src").select("src", "dst", (1.0 / F.col("outdeg")).alias("share")), "edges", ["src"])
     verts = store.save(vertices_of(e), "vertices")
     damp = 1.0 - reset
     frontier = verts.select("id", F.lit(reset).alias("delta"))
