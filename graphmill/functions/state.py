@@ -59,7 +59,8 @@ class StateStore:
         table = f"graphmill_{name}_{uuid.uuid4().hex[:12]}"
         path = f"{self.base}/{name}-{self._seq:05d}"
         self._seq += 1
-        df.write.bucketBy(n, *keys).option("path", path).saveAsTable(table)
+        # hash-partition by the bucket keys first so each bucket is one file, not one per task
+        df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(table)
         return self.spark.table(table)
 
     def _delete(self, path: str) -> None:

@@ -153,3 +153,16 @@ def test_triplets_aggregate_messages_make_graph(spark, demo):
     g = make_graph(spark.createDataFrame([(1, 9.0), (99, 1.0)], "id long, x double"), demo, {"x": 0.0})
     assert as_map(g, value="x") == {1: 9.0, 2: 0.0, 3: 0.0, 4: 0.0, 5: 0.0, 6: 0.0, 7: 0.0, 99: 1.0}
     assert canonical(edges_df(spark, [(3, 1)])).first()[:2] == (1, 3)
+
+
+def test_louvain_state_text_and_level_sink(spark, demo):
+    import tempfile
+    from graphmill.operators.louvain import init_state, louvain_edges, render_state, save_levels, louvain
+    state, _ = init_state(louvain_edges(demo))
+    txt = as_map(render_state(state), value="text")
+    assert txt[1] == "{community:1,communitySigmaTot:2,internalWeight:0,nodeWeight:2}"
+    assign, hist = louvain(demo)
+    d = tempfile.mkdtemp(dir="/tmp")
+    save_levels(assign, hist, d)
+    assert spark.read.parquet(f"{d}/levels").count() == 14
+    assert spark.read.parquet(f"{d}/qvalues").count() == 2
