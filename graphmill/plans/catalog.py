@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 
 from graphmill.functions.graph import (adjacency, aggregate_messages, canonical, merge_edges, symmetrize,
                                        triplets, vertices_of)
-from graphmill.operators.betweenness import k_betweenness, k_hop_neighborhood
+from graphmill.operators.betweenness import k_betweenness, k_hop_edges, k_hop_neighborhood
 from graphmill.operators.closeness import closeness
-from graphmill.operators.components import connected_components, ego_circles
+from graphmill.operators.components import connected_components, ego_circles, ego_components
 from graphmill.operators.degree import degree_centrality
 from graphmill.operators.eigenvector import eigenvector
 from graphmill.operators import louvain as lv
 from graphmill.operators.pagerank import pagerank
-from graphmill.operators.paths import all_pairs, landmark_distances, mean_path_length, reachable
+from graphmill.operators.paths import all_pairs, landmark_distances, mean_path_length, reachable, single_source
 from graphmill.operators.triangles import local_clustering, triangle_count
 from graphmill.plans import graphs as G
 from graphmill.session import state_root
@@ -86,11 +86,10 @@ def q_triplets(spark, sf):
 
 
 def q_aggregate_messages(spark, sf):
-    msgs = {"weight_sum": F.col("weight"), "max_nbr_label": None}
     return aggregate_messages(
         _supp(spark, sf), G.supplier_nations(spark, sf),
-        to_src={"weight_sum": msgs["weight_sum"], "max_nbr_label": F.col("dst_label")},
-        to_dst={"weight_sum": msgs["weight_sum"], "max_nbr_label": F.col("src_label")},
+        to_src={"weight_sum": F.col("weight"), "max_nbr_label": F.col("dst_label")},
+        to_dst={"weight_sum": F.col("weight"), "max_nbr_label": F.col("src_label")},
         agg={"weight_sum": "sum", "max_nbr_label": "max"}, attrs=["label"])
 
 
@@ -140,6 +139,20 @@ def q_sssp_mean(spark, sf):
     return mean_path_length(e, origin, weighted=True)
 
 
+def q_sssp_distances(spark, sf):
+    e = _supp(spark, sf)
+    origin = vertices_of(e).agg(F.min("id").alias("id"))
+    return single_source(e, origin, weighted=True)
+
+
+def q_k_hop_edges(spark, sf):
+    return k_hop_edges(_supp(spark, sf), KHOP_K)
+
+
+def q_ego_components(spark, sf):
+    return ego_components(G.customer_ego_nets(spark, sf))
+
+
 def q_reachable(spark, sf):
     return reachable(canonical(_part(spark, sf)))
 
@@ -242,12 +255,15 @@ QUERIES: dict[str, Query] = {
     "landmark_hops": q_landmark_hops,
     "landmark_weighted": q_landmark_weighted,
     "sssp_mean": q_sssp_mean,
+    "sssp_distances": q_sssp_distances,
     "reachable": q_reachable,
     "k_hop": q_k_hop,
+    "k_hop_edges": q_k_hop_edges,
     "k_betweenness_2": q_k_betweenness_2,
     "k_betweenness_3": q_k_betweenness_3,
     "connected_components": q_connected_components,
     "ego_circles": q_ego_circles,
+    "ego_components": q_ego_components,
     "louvain_init": q_louvain_init,
     "louvain_first_move": q_louvain_first_move,
     "louvain": q_louvain,
@@ -426,6 +442,13 @@ SELECT id, landmark, distance FROM d""",
   pe AS (SELECT dst AS src, src AS dst, min(weight) AS weight FROM g_supp GROUP BY 1, 2)""",
                                     "SELECT min(id), min(id), 0.0::DOUBLE FROM v", "pe.weight")) + """
 SELECT landmark AS origin, avg(distance) AS value FROM d GROUP BY landmark""",
+    "sssp_distances": _W(_S, _V, _dist_sql("""
+  pe AS (SELECT dst AS src, src AS dst, min(weight) AS weight FROM g_supp GROUP BY 1, 2)""",
+                                         "SELECT min(id), min(id), 0.0::DOUBLE FROM v", "pe.weight")) + """
+SELECT landmark AS origin, id, distance FROM d""",
+    "k_hop_edges": _W(_S, _SIMPLE, _V) + """,
+  near AS (SELECT id AS root, id FROM v UNION SELECT a.id, a.nbr FROM adj a)
+SELECT DISTINCT near.root, s.a AS src, s.b AS dst FROM near JOIN s ON s.a = near.id OR s.b = near.id""",
     "reachable": _W(_P, """
   c AS (SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM g_part),
   v AS (SELECT src AS id FROM g_part UNION SELECT dst FROM g_part),
@@ -480,6 +503,16 @@ SELECT id, comp AS component FROM cc""",
      GROUP BY eu.ego_id, eu.dst, r.comp HAVING min(cc.comp) < r.comp)),
   circ AS (SELECT ego_id, comp, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY id) AS circle FROM cc GROUP BY 1, 2)""") + """
 SELECT ego_id, string_agg(circle, ';' ORDER BY comp) AS circles FROM circ GROUP BY ego_id""",
+    "ego_components": _W(G.EGO_NETS_SQL, """
+  eu AS (SELECT ego_id, src, dst FROM ego WHERE src <> dst UNION SELECT ego_id, dst, src FROM ego WHERE src <> dst),
+  ev AS (SELECT ego_id, src AS id FROM ego UNION SELECT ego_id, dst FROM ego),
+  cc(ego_id, id, comp) USING KEY (ego_id, id) AS (
+    SELECT ego_id, id, id FROM ev
+    UNION
+    (SELECT eu.ego_id, eu.dst, min(cc.comp) FROM cc JOIN eu ON eu.ego_id = cc.ego_id AND eu.src = cc.id
+       JOIN recurring.cc r ON r.ego_id = eu.ego_id AND r.id = eu.dst
+     GROUP BY eu.ego_id, eu.dst, r.comp HAVING min(cc.comp) < r.comp))""") + """
+SELECT ego_id, id, comp AS component FROM cc""",
     "louvain_init": _W(_S, _LOUVAIN_INIT) + """
 SELECT id, community, sigma_tot, internal_weight, node_weight, changed FROM st""",
     "louvain_first_move": _W(_S, _LOUVAIN_INIT, _LOUVAIN_MOVE) + """
