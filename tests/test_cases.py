@@ -166,3 +166,23 @@ def test_louvain_state_text_and_level_sink(spark, demo):
     save_levels(assign, hist, d)
     assert spark.read.parquet(f"{d}/levels").count() == 14
     assert spark.read.parquet(f"{d}/qvalues").count() == 2
+
+
+def test_bucketed_edges_are_not_reshuffled(spark):
+    import contextlib
+    import io as _io
+    from graphmill.functions.state import StateStore
+    store = StateStore(spark, "plan-test")
+    e = store.save_bucketed(edges_df(spark, [(i, i % 7) for i in range(200)]), "edges", ["dst"])
+    front = spark.range(10).select(F.col("id").alias("dst"), F.lit(0.0).alias("distance"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = _io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            front.join(e, "dst").explain()
+        plan = buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1   # only the frontier moves
