@@ -9,7 +9,7 @@ class Ftrl:
     """State of FTRL-proximal for ``dim`` weights.
 
     ``weights(i)`` gives the present weights of the coordinates ``i``;
-    ``update(i, g)`` takes the gradient there (each coordinate once).
+    ``update(i, g, w)`` takes the gradient there (each coordinate once).
     """
 
     def __init__(self, dim: int, alpha: float = 2.0, beta: float = 0.1, l1: float = 0.02, l2: float = 0.02):

@@ -38,6 +38,8 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    #: With ``prefixes``: per length the hashes of the words' beginnings and the words that are longer.
+    begun: tuple = ()
 
     def rows(self) -> np.ndarray:
         """The text that each word belongs to."""
@@ -62,8 +64,12 @@ def _power_table(name: str, base: int, n: int) -> np.ndarray:
     return have
 
 
-def words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = SPACE_ONLY, fold: np.ndarray = LOWER) -> Words:
-    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``; ``fold`` maps bytes before hashing."""
+def words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = SPACE_ONLY, fold: np.ndarray = LOWER,
+          prefixes: tuple[int, ...] = ()) -> Words:
+    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``; ``fold`` maps bytes before hashing.
+
+    ``prefixes``: also the hashes of the first so many bytes of longer words.
+    """
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
@@ -82,7 +88,12 @@ def words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = SPACE_ONLY,
     sums[0] = 0
     np.cumsum((fold[data].astype(np.uint64) + U(1)) * powers[:n], out=sums[1:])
     h = mix((sums[end] - sums[start]) * back[start])
-    return Words(start, end, h, np.searchsorted(start, offsets))
+    begun = []
+    for k in prefixes:
+        at = np.flatnonzero(end - start > k)
+        s = start[at]
+        begun.append((mix((sums[s + k] - sums[s]) * back[s] + U(k)), at))
+    return Words(start, end, h, np.searchsorted(start, offsets), tuple(begun))
 
 
 def ngrams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,0 +1,119 @@
+"""Plain versions of the operators, one text or pair at a time."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import regex
+import xxhash
+
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+CARD = r"[0-9]([\x20-]?[0-9])+"
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def base_spans(text: str | None) -> list[tuple[str, int, int]]:
+    text, out = text or "", []
+    for m in regex.finditer(EMAIL, text):
+        out.append(("email", m.start(), m.end()))
+    for m in regex.finditer(IP, text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append(("ip", m.start(), m.end()))
+    for m in regex.finditer(CARD, text):
+        d = re.sub("[^0-9]", "", m[0])
+        if 16 <= len(d) <= 19 and luhn(d):
+            out.append(("card", m.start(), m.end()))
+    for m in regex.finditer(PHONE, text):
+        if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", m.start(), m.end()))
+    return out
+
+
+def base_sha(text: str | None) -> str:
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base_spans(text)).encode()).hexdigest()
+
+
+def fingerprint(text: str | None) -> int:
+    t = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not w:
+        return 0
+    shingles = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] or [" ".join(w)]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def near_components(ids: list, fps: list[int], distance: int = 3) -> list:
+    distinct = np.array(sorted(set(fps)), np.uint64)
+    parent = {int(f): int(f) for f in distinct}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, f in enumerate(distinct):
+        for g in distinct[i + 1:][np.bitwise_count(distinct[i + 1:] ^ f) <= distance]:
+            parent[find(int(g))] = find(int(f))
+    low: dict = {}
+    for i, f in zip(ids, fps):
+        r = find(f)
+        if i is not None:
+            low[r] = min(low.get(r, i), i)
+    return [low.get(find(f)) for f in fps]
+
+
+def repeats(rows: list[tuple[int, str | None]], k: int = 100) -> dict[int, tuple[int, int, int, str]]:
+    """Per id: bytes, removed bytes, removed runs, digest of the rest; ids are distinct."""
+    first: dict[bytes, tuple[int, int]] = {}
+    out = {}
+    for doc, text in sorted(rows):
+        b = (text or "").encode()
+        gone = np.zeros(len(b) + 1, np.int64)
+        for i in range(len(b) - k + 1):
+            s = hashlib.blake2b(b[i:i + k], digest_size=16).digest()
+            if s in first:
+                gone[i] += 1
+                gone[i + k] -= 1
+            else:
+                first[s] = (doc, i)
+        mask = np.cumsum(gone)[:-1] > 0 if len(b) else np.zeros(0, bool)
+        runs = int((np.diff(np.r_[0, mask.astype(int)]) == 1).sum())
+        kept = bytes(np.frombuffer(b, np.uint8)[~mask]) if len(b) else b""
+        out[doc] = (len(b), int(mask.sum()), runs, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def pieces(text: str | None, tokenizer, capacity: int = 1024, end_id: int = 2) -> list[tuple[int, int, int, int]]:
+    ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, end_id]
+    n = len(ids)
+    first = n if n <= capacity else n % capacity or capacity
+    cuts = [0, *range(first, n + 1, capacity)] if n > capacity else [0, n]
+    return [(k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+
+
+def smith_waterman(item: list, text: list) -> tuple[int, int]:
+    """Best local score and the most matches among alignments of that score."""
+    best = (0, 0)
+    above = [(0, 0)] * (len(text) + 1)
+    for w in item:
+        row = [(0, 0)]
+        for j, t in enumerate(text):
+            diag = (above[j][0] + 1, above[j][1] + 1) if w == t else (above[j][0] - 1, above[j][1])
+            cell = max(diag, (above[j + 1][0] - 1, above[j + 1][1]), (row[j][0] - 1, row[j][1]))
+            row.append(cell if cell[0] > 0 else (0, 0))
+        best = max(best, max(row))
+        above = row
+    return best
