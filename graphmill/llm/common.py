@@ -39,6 +39,14 @@ def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> None:
         spark.conf.set(BATCH_BYTES, str(size))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def text_of(name: str = "text"):
     """A text column, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

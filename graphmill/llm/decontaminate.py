@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphmill.llm.common import bounded_batches, bytes_of, settle, spans_of_rows, text_of
+from graphmill.llm.common import bounded_batches, bytes_of, settle, spans_of_rows, text_of, unused
 from graphmill.llm.words import ALNUM_ONLY, ngrams, words
 
 WORDS, SIMILARITY = 5, 0.8
@@ -83,6 +83,8 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 def _matches(block: Block, df: np.ndarray, row, at, seed, w, similarity: float):
     """Rows ``text, item, similarity, score, first byte, end byte, anchor's document count`` of a run of texts."""
+    if not len(seed):
+        return
     n = np.diff(block.cut)[seed]
     each = np.repeat(np.arange(len(seed)), n)
     place = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + block.cut[seed][each]
@@ -178,5 +180,6 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a passage of an item."""
-    gone = settle(contamination(docs, items, key, text).select(F.col("doc_id").alias("__id")).distinct(), "contaminated")
-    return docs.join(gone, F.col("__id").eqNullSafe(F.col(f"`{key}`")), "left_anti")
+    own = unused(docs, "own_id")
+    gone = settle(contamination(docs, items, key, text).select(F.col("doc_id").alias(own)).distinct(), "contaminated")
+    return docs.join(gone, gone[own].eqNullSafe(docs[f"`{key}`"]), "left_anti")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import settle, text_of
+from graphmill.llm.common import settle, text_of, unused
 
 MIN_CHUNK, MAX_CHUNK = 256, 2048
 CUTS = rf"(?s).{{{MIN_CHUNK},{MAX_CHUNK - 2}}}?(?:[.!?]\s|\n)|.{{1,{MAX_CHUNK}}}"
@@ -68,12 +68,14 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """``docs`` without the rows that ``exact_groups`` drops."""
     groups = settle(exact_groups(docs, key, text), "exact")
     gone = groups.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    gone = settle(gone.where("not kept or n > 1").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "gone")
-    on = [F.col("__id").eqNullSafe(F.col(f"`{key}`")), F.col("__sha") == F.sha2(text_of(text), 256)]
+    gone = settle(gone.where("not kept or n > 1"), "gone")
+    own, sha = unused(docs, "own_id"), unused(docs, "own_sha")
+    gone = gone.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(sha), F.col("kept").alias(unused(docs, "stays")))
+    on = [gone[own].eqNullSafe(docs[f"`{key}`"]), gone[sha] == F.sha2(F.coalesce(docs[f"`{text}`"], F.lit("")), 256)]
     out = docs.join(gone, on, "left_anti")
-    again = gone.where("kept")
+    again = gone.where(F.col(unused(docs, "stays")))
     if again.isEmpty():
         return out
     # repeated rows with one id and text: one of each stays
-    one = docs.join(again, on, "left_semi").withColumn("__sha", F.sha2(text_of(text), 256)).dropDuplicates([key, "__sha"])
-    return out.unionByName(one.drop("__sha"))
+    one = docs.join(again, on, "left_semi").withColumn(sha, F.sha2(text_of(text), 256)).dropDuplicates([key, sha])
+    return out.unionByName(one.drop(sha))

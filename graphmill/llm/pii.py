@@ -135,8 +135,11 @@ def extract(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def digest(spans: DataFrame) -> DataFrame:
     """Counts, the digest of the base spans, and all spans as text."""
+    def of(kind):
+        return F.transform(kind, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))
+
     def said(kinds):
-        return F.array_join(F.concat(*[F.transform(k, lambda s, k=k: F.concat_ws(":", F.lit(k), s["start"], s["end"])) for k in kinds]), ",")
+        return F.array_join(F.concat(*[of(k) for k in kinds]), ",")
 
     return spans.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
                         F.sha2(said(KINDS), 256).alias("base_sha256"), said((*KINDS, "context")).alias("spans"))

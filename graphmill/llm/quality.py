@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import bounded_batches, bytes_of, spans_of_rows, text_of
+from graphmill.llm.common import bounded_batches, bytes_of, spans_of_rows, text_of, unused
 from graphmill.llm.ftrl import Ftrl
 from graphmill.llm.words import PUNCT_APART, SAME, ngrams, words
 
@@ -119,7 +119,7 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, name: str = "s
     def run(batches):
         w = sent.value
         for batch in batches:
-            data, offsets = bytes_of(batch.column("__text"))
+            data, offsets = bytes_of(batch.column(len(keep)))
             s = np.full(len(offsets) - 1, w[-1])
             for first, end in spans_of_rows(offsets, SLICE):
                 row, i, x = features(data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first], bits)
@@ -127,7 +127,7 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, name: str = "s
             cols = [batch.column(c) for c in keep] + [pa.array(_sigmoid(s))]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, name])
 
-    given = docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias("__text"))
+    given = docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias(unused(docs, "own_text")))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add(name, "double")
     return given.mapInArrow(run, schema)
 

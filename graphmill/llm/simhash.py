@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import bounded_batches, settle, text_of
+from graphmill.llm.common import bounded_batches, settle, text_of, unused
 from graphmill.llm.components import components
 
 WORDS, DISTANCE, SEED = 3, 3, 42
@@ -168,6 +168,17 @@ def links(fps: DataFrame, distance: int = DISTANCE, hot: int = HOT, partitions:
     masks = [sum(pair) for pair in combinations(blocks, 2)]
     nodes = fps.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
     ready = []
+
+    def finer(batches):
+        opened: dict[int, np.ndarray] = {}
+        for batch in batches:
+            fp, mask = (batch.column(c).to_numpy() for c in (0, 1))
+            for m in np.unique(mask):
+                if m not in opened:
+                    opened[m] = np.array([_signed(c) for c in _open(int(m) & _ALL, distance)], np.int64)
+                own, to = fp[mask == m], opened[m]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, len(to))), pa.array(np.tile(to, len(own)))], names=["fp", "mask"])
+
     while True:
         nodes = nodes.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
         big = settle(nodes.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
@@ -176,21 +187,17 @@ def links(fps: DataFrame, distance: int = DISTANCE, hot: int = HOT, partitions:
             ready.append(nodes)
             break
         ready.append(nodes.join(big, ["mask", "pattern"], "left_anti"))
-        finer = {_signed(m): [_signed(c) for c in _open(m, distance)] for m in masks if m != _ALL}
-        masks = sorted({c & _ALL for cs in finer.values() for c in cs})
-        if not finer:
-            break
-        opened = F.create_map(*[x for m, cs in finer.items() for x in (F.lit(m), F.array(*[F.lit(c) for c in cs]))])
-        nodes = settle(nodes.join(big, ["mask", "pattern"], "left_semi").where(F.col("mask") != -1)
-                       .select("fp", F.explode(opened[F.col("mask")]).alias("mask")), "finer-nodes")
+        nodes = settle(nodes.join(big, ["mask", "pattern"], "left_semi").select("fp", "mask")
+                       .mapInArrow(finer, "fp long, mask long"), "finer-nodes")
     every = ready[0]
     for more in ready[1:]:
         every = every.unionByName(more)
 
     def run(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        given = list(batches)
+        if not given:
             return
+        table = pa.Table.from_batches(given)
         fp, mask, pattern = (table.column(c).to_numpy().view(np.uint64) for c in ("fp", "mask", "pattern"))
         order = np.lexsort((fp, pattern, mask))
         fp, mask, pattern = fp[order], mask[order], pattern[order]
@@ -227,16 +234,15 @@ def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", words: i
     """``docs`` with one row of each component: that with the smallest id."""
     groups = settle(near_groups(docs, key, text, words, distance), "near")
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    per_id = groups.groupBy("doc_id").agg(F.max(kept).alias("kept"), F.count(F.lit(1)).alias("n"))
-    per_id = settle(per_id.where("not kept or n > 1").select(F.col("doc_id").alias("__id"), "kept"), "near-gone")
-    same = F.col("__id").eqNullSafe(F.col(f"`{key}`"))
-    out = docs.join(per_id, same, "left_anti")
-    again = per_id.where("kept")
+    own, sha = unused(docs, "own_id"), unused(docs, "own_sha")
+    per_id = groups.groupBy(F.col("doc_id").alias(own)).agg(F.max(kept).alias("kept"), F.count(F.lit(1)).alias("n"))
+    per_id = settle(per_id.where("not kept or n > 1"), "near-gone")
+    gone, again = per_id.select(own), per_id.where("kept").select(own)
+    out = docs.join(gone, gone[own].eqNullSafe(docs[f"`{key}`"]), "left_anti")
     if again.isEmpty():
         return out
-    # several rows with the id that stays: the first by text
-    digest = F.sha2(text_of(text), 256)
-    rows = docs.join(again, same, "left_semi").withColumn("__sha", digest)
-    low = settle(rows.groupBy(F.col(key).alias("__id")).agg(F.min("__sha").alias("__low")), "near-first")
-    one = rows.join(low, same & (F.col("__sha") == F.col("__low")), "left_semi").dropDuplicates([key, "__sha"])
-    return out.unionByName(one.drop("__sha"))
+    # several rows with the id that stays: the first by digest of the text
+    rows = docs.join(again, again[own].eqNullSafe(docs[f"`{key}`"]), "left_semi").withColumn(sha, F.sha2(text_of(text), 256))
+    low = settle(rows.groupBy(F.col(f"`{key}`").alias(own)).agg(F.min(sha).alias("low")), "near-first")
+    one = rows.join(low, low[own].eqNullSafe(rows[f"`{key}`"]) & (low["low"] == rows[sha]), "left_semi").dropDuplicates([key, sha])
+    return out.unionByName(one.drop(sha))

@@ -48,12 +48,11 @@ def test_pii_awkward(spark):
 
 
 def test_pii_discovers(spark):
-    """Words that stand before e-mail seeds mark a like-shaped token that no base kind matches."""
-    rows = [(i, f"write to agent u{i}@host{i}.org now") for i in range(6)] + [(6, "write to agent u9@host9 now"), (7, "in all 12 cases")]
-    # the shapes differ by the missing dot, so one more seed word with the same shape is needed
-    rows += [(10 + i, f"id badge 41111111111111{i}{c} ok") for i, c in ((10, 1), (11, 1), (12, 1))]
-    cards = [(20 + i, f"card 411111111111{i:03d}{c} paid") for i in range(8) for c in range(10) if brute.luhn(f"411111111111{i:03d}{c}")]
-    rows = rows[:8] + cards + [(90, "card 4111111111119999 paid"), (91, "part 4111111111119998 sold")]
+    """A word before card numbers marks a like-shaped number that fails the check digit; another word doesn't."""
+    rows = [(7, "in all 12 cases")]
+    rows += [(20 + i, f"card 411111111111{i:03d}{c} paid") for i in range(8) for c in range(10) if brute.luhn(f"411111111111{i:03d}{c}")]
+    bad = next(n for n in ("4111111111119990", "4111111111119991") if not brute.luhn(n))
+    rows += [(90, f"card {bad} paid"), (91, f"part {bad[::-1]} sold")]
     got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.extract(frame(spark, rows))).collect()}
     assert got[90] == "context:5:21" and got[91] == "" and got[7] == ""
 
@@ -110,14 +109,14 @@ def test_simhash_awkward(spark):
     assert simhash.near_groups(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("hot", [4, 1024])
+@pytest.mark.parametrize("hot", [200, 1024])
 def test_simhash_links_dense_groups(spark, hot):
     """Clusters of near fingerprints, with upper nodes small and opened: no link between classes is lost."""
     rng = random.Random(11)
     fps = set()
-    for _ in range(40):
+    for size in [30] * 20 + [600]:
         seed = rng.getrandbits(64)
-        for _ in range(40):
+        for _ in range(size):
             f = seed
             for b in rng.sample(range(64), rng.randrange(0, 5)):
                 f ^= 1 << b
