@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphmill.llm import chat, decontaminate, exact_dedup, html_extract, packing, pii, quality, simhash, toxicity
+from graphmill.llm import chat, decontaminate, exact_dedup, html_extract, packing, pii, quality, simhash, suffix_dedup, toxicity
 from graphmill.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_repeats(_documents(spark, sf_dir)).drop("kept")
+
+
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -49,7 +53,7 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_toxicity, op4_decontamination, op6_html, op7_quality,
+QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_toxicity, op4_decontamination, op5_suffix, op6_html, op7_quality,
                                    op8_chat, op9_simhash, op10_exact)}
 
 ORACLE: dict[str, str] = {
