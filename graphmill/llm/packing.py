@@ -7,8 +7,8 @@ about ``BLOCK_ITEMS``.  For each block ``ISLANDS`` populations of packings evolv
 crossover injects whole well-filled bins of one parent into another, takes out
 the bins that hold the same pieces, and best-fits the displaced pieces, largest
 first.  After each epoch an island's elite migrates to its neighbour in a ring.
-The best packing of a block stands; pieces of its poorly filled bins enter the
-next level, until one block is left or nothing changes.  Only lengths and small
+The best packing of a block stands; pieces of its poorly filled bins are dealt over
+fewer blocks and packed once more.  Only lengths and small
 records move; a block's size is bounded, whatever the input.
 
 Cases: null texts count as empty and give a piece of the end id alone; repeated
@@ -33,7 +33,8 @@ from graphmill.llm.common import bounded_batches, settle, text_of
 CAPACITY, END_ID = 1024, 2
 BLOCK_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 8, 4
 #: Bins filled to less than this share are packed again at the next level.
-POOR = 0.97
+POOR = 0.9
+LEVELS = 2
 #: Fixed value: how byte-level vocabularies split texts before merging.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -244,7 +245,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     done = [every.where(F.col("length") == capacity).select(
         *cols, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     rest = every.where(F.col("length") < capacity).withColumn("part", F.spark_partition_id())
-    level, base, before = 0, 0, None
+    level, base = 0, 0
     while True:
         n = rest.count()
         if not n:
@@ -252,11 +253,11 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         blocks = -(-n // block_items)
         dealt = rest.withColumn("block", F.pmod(F.xxhash64("row", "part", "ids_crc32", F.lit(level)), F.lit(blocks)))
         dealt = settle(dealt.groupBy("block").agg(F.collect_list(F.struct(*cols, "row", "part")).alias("items")), "blocks")
-        best = settle(_islands(dealt.select("block", F.transform("items", lambda x: x["length"].cast("int")).alias("sizes")),
-                               capacity, islands, epochs, generations, population), "best")
+        best = _islands(dealt.select("block", F.transform("items", lambda x: x["length"].cast("int")).alias("sizes")),
+                        capacity, islands, epochs, generations, population)
         placed = (dealt.join(best, "block").select("block", F.inline(F.arrays_zip("items", "bins")))
                   .select("block", "items.*", F.col("bins").alias("bin")))
-        last = blocks == 1 or n == before
+        last = blocks == 1 or level + 1 == LEVELS
         by_bin = (placed.groupBy("block", "bin").agg(F.collect_list(F.struct("length", *[c for c in cols if c != "length"], "row", "part"))
                                                      .alias("items"), F.sum("length").alias("fill")))
         by_bin = settle(by_bin, "bins")
@@ -269,7 +270,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
             break
         base += blocks * block_items * 4
         rest = by_bin.where(F.col("fill") < POOR * capacity).select(F.inline("items")).select(*cols, "row", "part")
-        level, before = level + 1, n
+        level += 1
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
