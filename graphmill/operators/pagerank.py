@@ -61,5 +61,5 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
     rank = rank.groupBy("id").agg(F.sum("delta").alias("value"))
     if normalize:
         total, n = rank.agg(F.sum("value"), F.count(F.lit(1))).first()
-        rank = rank.select("id", (F.col("value") * F.lit(n / total)).alias("value"))
+        rank = rank.select("id", (F.col("value") * F.lit(n / total if n else 1.0)).alias("value"))
     return rank

@@ -1,8 +1,8 @@
 """Edge tables projected from the TPC-H-like test tables.
 
-Every projection is linear in ``lineitem``: a line links only to the next
-one or two line slots of its order, never to all lines of the order, so a
-huge order cannot blow up quadratically.  Duplicate line numbers are first
+Every projection reads the whole ``lineitem`` table and is linear in it: a line
+links only to the next line slot of its order, never to all lines of the order,
+so a huge order cannot blow up quadratically.  Duplicate line numbers are first
 collapsed to ``(order, line, key, multiplicity)`` and the pair weight is the
 product of multiplicities.  The ``*_SQL`` strings are the same definitions as
 DuckDB CTE bodies for the oracle queries.
@@ -13,11 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the projections.
-SUPP_FROM, SUPP_TO = "1995-01-01", "1995-02-01"   # a.l_shipdate window of the supplier graph
-PART_FROM, PART_TO = "1995-01-01", "1995-04-01"   # a.l_shipdate window of the part graph
-SUPP_SLOT_GAPS = (1, 2)                            # line-slot distances linked in the supplier graph
-LANDMARK_REGION = "ASIA"                           # landmark suppliers for landmark shortest paths
+# Fixed values of the projections: seeds (landmarks, roots, origins) are the parts of this size and type.
+SEED_SIZE, SEED_TYPE = 50, "ECONOMY"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,48 +30,20 @@ def _slots(lines: DataFrame, key: str, value=None) -> DataFrame:
                           F.col(key).alias("k")).agg(*aggs))
 
 
-def supplier_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G_SUPP: ``a.l_suppkey -> b.l_suppkey`` when ``b`` sits 1 or 2 line slots after
-    ``a`` in the same order, suppliers differ and ``a`` shipped in Jan 1995.
-    ``weight`` = number of line pairs (as DOUBLE)."""
-    li = table(spark, sf_dir, "lineitem")
-    a = _slots(li.where((F.col("l_shipdate") >= F.lit(SUPP_FROM).cast("timestamp"))
-                        & (F.col("l_shipdate") < F.lit(SUPP_TO).cast("timestamp"))), "l_suppkey")
-    a = a.select("o", F.explode(F.array(*[F.col("n") + g for g in SUPP_SLOT_GAPS])).alias("n"),
-                 F.col("k").alias("src"), F.col("c").alias("ca"))
-    b = _slots(li, "l_suppkey").select("o", "n", F.col("k").alias("dst"), F.col("c").alias("cb"))
-    return (a.join(b, ["o", "n"]).where(F.col("src") != F.col("dst"))
-            .groupBy("src", "dst").agg(F.sum(F.col("ca") * F.col("cb")).cast("double").alias("weight")))
-
-
-SUPPLIER_GRAPH_SQL = f"""
-  g_supp AS (
-    WITH a AS (SELECT l_orderkey o, l_linenumber n, l_suppkey k, count(*) c FROM lineitem
-               WHERE l_shipdate >= TIMESTAMP '{SUPP_FROM}' AND l_shipdate < TIMESTAMP '{SUPP_TO}'
-               GROUP BY 1, 2, 3),
-         b AS (SELECT l_orderkey o, l_linenumber n, l_suppkey k, count(*) c FROM lineitem GROUP BY 1, 2, 3)
-    SELECT a.k AS src, b.k AS dst, CAST(sum(a.c * b.c) AS DOUBLE) AS weight
-    FROM a JOIN b ON a.o = b.o AND b.n - a.n IN ({', '.join(str(g) for g in SUPP_SLOT_GAPS)}) AND a.k <> b.k
-    GROUP BY 1, 2)"""
-
-
 def part_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G_PART: ``a.l_partkey -> b.l_partkey`` for consecutive line slots of one order,
-    parts differ, ``a`` shipped in 1995-Q1; ``weight`` = sum of ``a.l_quantity`` over pairs."""
+    parts differ; ``weight`` = sum of ``a.l_quantity`` over pairs."""
     li = table(spark, sf_dir, "lineitem")
-    a = _slots(li.where((F.col("l_shipdate") >= F.lit(PART_FROM).cast("timestamp"))
-                        & (F.col("l_shipdate") < F.lit(PART_TO).cast("timestamp"))), "l_partkey",
-               F.col("l_quantity"))
+    a = _slots(li, "l_partkey", F.col("l_quantity"))
     a = a.select("o", (F.col("n") + 1).alias("n"), F.col("k").alias("src"), "q")
     b = _slots(li, "l_partkey").select("o", "n", F.col("k").alias("dst"), F.col("c").alias("cb"))
     return (a.join(b, ["o", "n"]).where(F.col("src") != F.col("dst"))
             .groupBy("src", "dst").agg(F.sum(F.col("q") * F.col("cb")).alias("weight")))
 
 
-PART_GRAPH_SQL = f"""
+PART_GRAPH_SQL = """
   g_part AS (
     WITH a AS (SELECT l_orderkey o, l_linenumber n, l_partkey k, sum(l_quantity) q FROM lineitem
-               WHERE l_shipdate >= TIMESTAMP '{PART_FROM}' AND l_shipdate < TIMESTAMP '{PART_TO}'
                GROUP BY 1, 2, 3),
          b AS (SELECT l_orderkey o, l_linenumber n, l_partkey k, count(*) c FROM lineitem GROUP BY 1, 2, 3)
     SELECT a.k AS src, b.k AS dst, sum(a.q * b.c) AS weight
@@ -106,28 +75,23 @@ EGO_NETS_SQL = """
     LEFT JOIN li b ON b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber + 1)"""
 
 
-def supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertex labels ``(id, label)`` = supplier nation."""
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"),
-                                                   F.col("s_nationkey").cast("long").alias("label"))
+def part_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertex labels ``(id, label)`` = part size."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("long").alias("label"))
 
 
-SUPPLIER_NATIONS_SQL = """
-  nations AS (SELECT s_suppkey AS id, CAST(s_nationkey AS BIGINT) AS label FROM supplier)"""
+PART_SIZES_SQL = """
+  sizes AS (SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS label FROM part)"""
 
 
-def landmark_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landmarks ``(id)``: suppliers of nations in region ``LANDMARK_REGION``."""
-    s = table(spark, sf_dir, "supplier")
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region").where(F.col("r_name") == LANDMARK_REGION)
-    return (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey, "left_semi")
-            .select(F.col("s_suppkey").alias("id")))
+def seed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds ``(id)``: the parts of ``SEED_SIZE`` and ``SEED_TYPE``."""
+    return (table(spark, sf_dir, "part").where((F.col("p_size") == SEED_SIZE) & (F.col("p_type") == SEED_TYPE))
+            .select(F.col("p_partkey").alias("id")))
 
 
-LANDMARKS_SQL = f"""
-  landmarks AS (SELECT s.s_suppkey AS id FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
-                JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name = '{LANDMARK_REGION}')"""
+SEEDS_SQL = f"""
+  seeds AS (SELECT p_partkey AS id FROM part WHERE p_size = {SEED_SIZE} AND p_type = '{SEED_TYPE}')"""
 
 
 def with_sql(*ctes: str) -> str:

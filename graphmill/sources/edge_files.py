@@ -6,7 +6,9 @@
 * weighted edge list: ``src<TAB>dst<TAB>weight``;
 * ego nets: one file per ego whose path carries the ego id (default
   ``<ego>.egonet``); each line ``src: d1 d2 ...``; an empty list (``src:`` or
-  ``src: ``) stands for a self loop ``(src, src)``.
+  ``src: ``) stands for a self loop ``(src, src)``.  Lines of many egos may share a
+  file when each starts with ``ego<TAB>``; that is what the writer makes, as a
+  file per ego costs file-system work per ego.
 
 Readers are plain ``spark.read`` scans, so files split across executors and
 nothing passes through the driver.  Writers use ``DataFrame.write``.
@@ -43,10 +45,14 @@ def read_weighted_edge_list(spark: SparkSession, path: str, canonical: bool = Fa
 
 
 def read_ego_nets(spark: SparkSession, path: str, pattern: str = EGO_FILE_PATTERN) -> DataFrame:
-    """``(ego_id, src, dst)`` from ego-net files; the ego id is group 1 of ``pattern``
-    matched against each file path (a path that does not match fails the job)."""
+    """``(ego_id, src, dst)`` from ego-net files; the ego id stands before a tab in the line, or
+    else is group 1 of ``pattern`` matched against the file path (a line with neither
+    fails the job)."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
-    ego = F.regexp_extract("path", pattern, 1)
+    lines = lines.select(F.when(F.contains("value", F.lit("\t")), F.split("value", "\t", 2)[0])
+                         .otherwise(F.regexp_extract("path", pattern, 1)).alias("ego"),
+                         F.element_at(F.split("value", "\t", 2), -1).alias("value"), "path")
+    ego = F.trim("ego")
     parts = F.split(F.col("value"), ":", 2)
     dsts = F.filter(F.split(F.trim(F.coalesce(parts[1], F.lit(""))), r"\s+"), lambda x: x != "")
     rows = (lines.where(F.trim("value") != "")
@@ -67,15 +73,13 @@ def write_edge_list(edges: DataFrame, path: str, weighted: bool = False, mode: s
 
 
 def write_ego_nets(ego_edges: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ``src: d1 d2 ...`` lines, one folder ``ego_id=<id>`` per ego (read back
-    with ``pattern=r"ego_id=(\\d+)"``)."""
-    lines = (ego_edges.groupBy("ego_id", "src")
-             .agg(F.sort_array(F.collect_list("dst")).alias("d"))
-             .select("ego_id", F.concat(F.col("src").cast("string"), F.lit(": "),
-                                        F.array_join(F.transform("d", lambda x: x.cast("string")), " "))
-                     .alias("value")))
-    # cluster each ego into one task so every ego folder gets one file, not one per task
-    lines.repartition("ego_id").write.mode(mode).partitionBy("ego_id").text(path)
+    """Write ``ego<TAB>src: d1 d2 ...`` lines into ordinary part files; a vertex whose only
+    edge is a self loop gets an empty list."""
+    alone = (F.size("d") == 1) & (F.col("d")[0] == F.col("src"))
+    (ego_edges.groupBy("ego_id", "src").agg(F.sort_array(F.collect_list("dst")).alias("d"))
+     .select(F.concat(F.col("ego_id").cast("string"), F.lit("\t"), F.col("src").cast("string"), F.lit(": "),
+                      F.when(alone, "").otherwise(F.array_join(F.transform("d", lambda x: x.cast("string")), " "))).alias("value"))
+     .write.mode(mode).text(path))
 
 
 def write_vertices(vertices: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
