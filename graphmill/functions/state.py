@@ -4,11 +4,14 @@ Each round's state is written as a parquet table under the session's
 ``spark.checkpoint.dir`` and read back, which gives the next round a short
 plan (scan of the written files) and survives executor loss: nothing lives
 only in an executor's memory or local disk.  Row counts of written tables
-come from parquet footers, so asking "did anything change?" costs no scan.
+come from an ``Observation`` on the writing job, so asking "did anything
+change?" costs no scan.  Frames that operators return read these tables, so
+the tables stay until the shared folder is cleared.
 """
 
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -70,5 +73,5 @@ class StateStore:
             conf = self.spark.sparkContext._jsc.hadoopConfiguration()
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(conf).delete(p, True)
-        except Exception:  # pragma: no cover - e.g. Spark Connect sessions
-            pass
+        except Exception as ex:  # pragma: no cover - e.g. Spark Connect sessions
+            logging.getLogger(__name__).warning("superseded state %s was not deleted: %s", path, ex)
