@@ -311,7 +311,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
         def task(batches):
             for state, cols in run(batches):
                 by_doc = _bucket(cols[0] ^ cols[1], parts)
-                bucket = _bucket(cols[5] ^ cols[6], 1 << 20) if state and not hot_last else by_doc
+                bucket = _bucket(mix(cols[5].view(np.uint64)).view(np.int64) ^ cols[6], 1 << 20) if state and not hot_last else by_doc
                 out = _blobs(bucket, dict(zip(RECORD, cols)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(out.num_rows, state, np.int32)), *out.columns], names=["state", *out.schema.names])
         return task
