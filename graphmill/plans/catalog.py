@@ -166,6 +166,22 @@ def q_k_betweenness_3(spark, sf):
     return k_betweenness(_part(spark, sf), 3, roots=G.seed_parts(spark, sf)).select("id", _r6("value"))
 
 
+def q_k_hop_all(spark, sf):
+    return k_hop_neighborhood(_part(spark, sf), KHOP_K)
+
+
+def q_k_hop_edges_all(spark, sf):
+    return k_hop_edges(_part(spark, sf), KHOP_K)
+
+
+def q_k_betweenness_2_all(spark, sf):
+    return k_betweenness(_part(spark, sf), 2).select("id", _r6("value"))
+
+
+def q_k_betweenness_3_all(spark, sf):
+    return k_betweenness(_part(spark, sf), 3).select("id", _r6("value"))
+
+
 def q_connected_components(spark, sf):
     return connected_components(_part(spark, sf))
 
@@ -280,6 +296,10 @@ QUERIES: dict[str, Query] = {
     "k_hop_edges": q_k_hop_edges,
     "k_betweenness_2": q_k_betweenness_2,
     "k_betweenness_3": q_k_betweenness_3,
+    "k_hop_all": q_k_hop_all,
+    "k_hop_edges_all": q_k_hop_edges_all,
+    "k_betweenness_2_all": q_k_betweenness_2_all,
+    "k_betweenness_3_all": q_k_betweenness_3_all,
     "connected_components": q_connected_components,
     "ego_circles": q_ego_circles,
     "ego_components": q_ego_components,
@@ -608,3 +628,7 @@ SELECT g.src, g.dst, g.weight, a.label AS src_label, b.label AS dst_label
 FROM g_part g LEFT JOIN sizes a ON a.id = g.src LEFT JOIN sizes b ON b.id = g.dst""",
     "ego_nets_roundtrip": _W(G.EGO_NETS_SQL) + "\nSELECT ego_id, src, dst FROM ego",
 }
+
+# The same from every root.
+ORACLE |= {f"{name}_all": ORACLE[name].replace(" SEMI JOIN seeds USING (id)", "")
+           for name in ("k_hop", "k_hop_edges", "k_betweenness_2", "k_betweenness_3")}
