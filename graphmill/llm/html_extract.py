@@ -1,8 +1,11 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read into text leaves, each with its path of tags from the root.
-Subtrees that are no article text by their element, role or class (menus, forms,
-scripts, notices and so on: the fixed lists below) are left out first.  Then, per
+Subtrees that are no article text by their element or role (menus, forms, scripts
+and so on: the fixed lists below) are left out first.  A class token or id whose
+words all speak against article text lowers the ratios of its leaves; inside an
+article it leaves them out where the element's own ratio is low, too; an element
+that holds an article or most of the content is never meant.  Then, per
 path, text length and punctuation are summed over its leaves and divided by their
 number; the two ratios are fused (geometric mean), given to each leaf, smoothed
 over the page's sequence of leaves with a Gaussian window, and leaves above half
@@ -41,7 +44,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEFT_OUT = frozenset("nav header footer aside form button label select option dialog menu search head".split())
 LEFT_OUT_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar tablist status".split())
-#: Words of class and id values (split at anything but letters) that mark what isn't article text.
+#: Words of class and id values that speak against article text, where all words of a whole class token or id are among them.
 LEFT_OUT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements adbox adslot sponsor sponsored promo promotion promoted banner menu menus nav "
     "navbar navigation navi breadcrumb breadcrumbs sidebar sidebars aside widget widgets footer foot masthead header topbar cookie cookies "
@@ -65,17 +68,31 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _LETTERS = re.compile(r"[a-z]+")
+#: What such a name leaves of its leaves' ratios; the share of the content that no such element may hold.
+NAMED, MOST = 0.1, 2 / 3
 _KERNEL = [math.exp(-d * d / 2) for d in (2, 1, 0, 1, 2)]
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "out", "article", "depth")
+    __slots__ = ("tag", "path", "parent", "out", "article", "depth", "named", "holds")
 
-    def __init__(self, tag, name, parent, out):
+    def __init__(self, tag, name, parent, out, named=False):
         self.tag, self.parent, self.out = tag, parent, out
         self.path = f"{parent.path}/{name}" if parent else name
         self.depth = parent.depth + 1 if parent else 0
         self.article = tag in ("article", "main") or bool(parent and parent.article)
+        self.named = self if named else parent.named if parent else None  # the innermost element with such a name
+        self.holds = False  # an article or main element
+        if tag in ("article", "main"):
+            for e in above(self):
+                e.holds = True
+
+
+def above(e: Element | None):
+    """The named elements around ``e``, innermost first."""
+    while e is not None and e.named is not None:
+        yield e.named
+        e = e.named.parent
 
 
 def _left_out(tag: str, given: dict[str, str], parent: Element) -> bool:
@@ -83,18 +100,22 @@ def _left_out(tag: str, given: dict[str, str], parent: Element) -> bool:
         return False  # an article's own header: its headings stay, see below
     if tag in LEFT_OUT or "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "").lower() in LEFT_OUT_ROLES:
         return True
-    if "display:none" in given.get("style", "").replace(" ", "").lower():
-        return True
-    if tag in ("html", "body", "article", "main"):
+    return "display:none" in given.get("style", "").replace(" ", "").lower()
+
+
+def _named(tag: str, given: dict[str, str]) -> bool:
+    """Whether all words of a class token or of the id speak against article text."""
+    if tag in ("html", "body", "article", "main") or tag in HEADINGS or not ("class" in given or "id" in given):
         return False
-    names = f"{given.get('class', '')} {given.get('id', '')}"
-    return names != " " and not LEFT_OUT_NAMES.isdisjoint(_LETTERS.findall(_CAMEL.sub(" ", names).lower()))
+    tokens = [*given.get("class", "").split(), given.get("id", "")]
+    return any(w and LEFT_OUT_NAMES.issuperset(w) for w in (_LETTERS.findall(_CAMEL.sub(" ", t).lower()) for t in tokens))
 
 
 def leaves(page: str) -> list[tuple[Element, int, str]]:
     """``(element, block, raw text)`` of all text leaves that aren't left out; blocks are numbered."""
     top = here = Element("", "", None, False)
     block, out, at = 0, [], 0
+    deep = []  # open elements below the greatest depth
 
     def text(part):
         if part and not here.out:
@@ -116,11 +137,15 @@ def leaves(page: str) -> list[tuple[Element, int, str]]:
             continue
         block += tag in BLOCKS
         if m[2] or m[5]:  # an end tag: closes the innermost such element
+            if deep and (deep[-1] == tag or tag in deep):
+                while deep.pop() != tag:
+                    pass
+                continue
             e = here
             while e is not top and e.tag != tag:
                 e = e.parent
             if e is not top:
-                here = e.parent
+                here, deep = e.parent, []
             continue
         if tag in ENDS_P:
             e = here
@@ -135,33 +160,60 @@ def leaves(page: str) -> list[tuple[Element, int, str]]:
                 e = e.parent
             if e.tag in closed:
                 here = e.parent
-        if tag in VOID or here.depth > 400:
+        if tag in VOID:
+            continue
+        if here.depth > 400:
+            deep.append(tag)
             continue
         given = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(m[4] or "")} if m[4] else {}
         name = f"{tag}.{given['class']}" if given.get("class") else tag
-        here = Element(tag, name, here, here.out or _left_out(tag, given, here))
+        here = Element(tag, name, here, here.out or _left_out(tag, given, here), _named(tag, given))
     text(page[at:])
     return out
 
 
-def _content(found: list[tuple[Element, int, str]]) -> list[bool]:
-    """Which leaves the tag-path ratios take for content."""
-    size, marks, count = {}, {}, {}
+def _fused(texts: list[str]) -> float:
+    """Geometric mean of the text-length and the punctuation ratio of some leaves."""
+    n = len(texts)
+    return math.sqrt(sum(map(len, texts)) / n * (1 + sum(len(PUNCTUATION.findall(t)) for t in texts)) / n)
+
+
+def _content(found: list[tuple[Element, int, str]], weight: list[float]) -> list[bool]:
+    """Which leaves the tag-path ratios, times the leaves' weights, take for content."""
+    by: dict[str, list[str]] = {}
     for e, _, t in found:
-        size[e.path] = size.get(e.path, 0) + len(t)
-        marks[e.path] = marks.get(e.path, 0) + len(PUNCTUATION.findall(t))
-        count[e.path] = count.get(e.path, 0) + 1
-    ratio = {p: math.sqrt(size[p] / n * (1 + marks[p]) / n) for p, n in count.items()}
-    raw = [ratio[e.path] for e, _, _ in found]
+        by.setdefault(e.path, []).append(t)
+    ratio = {p: _fused(texts) for p, texts in by.items()}
+    raw = [ratio[e.path] * w for (e, _, _), w in zip(found, weight)]
     smooth = []
     for i in range(len(raw)):
         near = [(raw[i + d], k) for d, k in zip(range(-2, 3), _KERNEL) if 0 <= i + d < len(raw)]
-        smooth.append(sum(v * k for v, k in near) / sum(k for _, k in near))
+        smooth.append(weight[i] * sum(v * k for v, k in near) / sum(k for _, k in near))
     mean = sum(smooth) / len(smooth)
     spread = math.sqrt(sum((v - mean) ** 2 for v in smooth) / len(smooth))
     return [v >= (mean + spread) / 2 for v in smooth]
 
 
+def _weights(found: list[tuple[Element, int, str]], chosen: list[bool]) -> list[float]:
+    """What the names leave of each leaf's ratio; 0 in articles, where a named element's own ratio is low, too."""
+    texts, held = {}, {}
+    for (e, _, t), c in zip(found, chosen):
+        for x in above(e):
+            texts.setdefault(x, []).append(t)
+            held[x] = held.get(x, 0) + c * len(t)
+    total = sum(c * len(t) for (_, _, t), c in zip(found, chosen))
+    plain = [t for e, _, t in found if e.article and e.named is None]
+    part = {}
+    for x in texts:
+        if x.holds or held[x] > MOST * total:
+            part[x] = 1.0
+        elif x.article:
+            part[x] = 0.0 if plain and 2 * _fused(texts[x]) < _fused(plain) else 1.0
+        else:
+            part[x] = NAMED
+    return [min((part[x] for x in above(e)), default=1.0) for e, _, _ in found]
+
+
 def _article(found: list[tuple[Element, int, str]], chosen: list[bool]) -> Element:
     """The element whose leaves make the text."""
     held: dict[int, tuple[int, Element]] = {}
@@ -189,12 +241,19 @@ def main_text(page: str) -> str:
     found = [x for x in every if not x[2].isspace()]
     if not found:
         return ""
-    root = _article(found, _content(found))
+    weight = [1.0] * len(found)
+    chosen = _content(found, weight)
+    if any(e.named for e, _, _ in found):
+        weight = _weights(found, chosen)
+        chosen = _content(found, weight)
+    root = _article(found, chosen)
+    keep = {id(x) for x, w in zip(found, weight) if w == 1}
     out, last, parts = [], None, []
-    for e, block, t in every:
+    for x in every:
+        e, block, t = x
         while e is not None and e is not root:
             e = e.parent
-        if e is None:
+        if e is None or not t.isspace() and id(x) not in keep:
             continue
         if block != last:
             out.append(parts)

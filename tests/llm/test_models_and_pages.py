@@ -81,6 +81,27 @@ def test_page_cases(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("name", ["overflow-hidden", "content has-sidebar", "site no-sidebar", "entry no-comments", "widget", "sidebar",
+                                  "elementor-widget elementor-widget-theme-post-content"])
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_page_wrappers(name, tag):
+    """A wrapper's class never takes the article with it."""
+    page = f"<body><nav>menu</nav><div class='{name}'><{tag}><h1>T</h1><p>{LONG}</p><p>{LONG}</p></{tag}></div></body>"
+    assert html_extract.main_text(page) == f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_page_sections_inside_an_article():
+    page = (f"<article><h1>T</h1><p>{LONG}</p><h2 id='search-results'>S</h2><p>{LONG}</p><section id='discussion'><p>{LONG}</p></section>"
+            f"<div id='related-work'><p>{LONG}</p></div></article>")
+    assert html_extract.main_text(page) == "\n".join(["T", LONG.strip(), "S", LONG.strip(), LONG.strip(), LONG.strip()])
+
+
+def test_page_deep():
+    """End tags of elements below the greatest depth close no outer element."""
+    page = f"<body><article><p>{LONG}</p>{'<div>' * 500}<i>in</i>{'</div>' * 500}<p>{LONG}</p></article><footer>f</footer></body>"
+    assert html_extract.main_text(page) == f"{LONG.strip()}\nin\n{LONG.strip()}"
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, None, None, 5), (1, "u", "<p>x", 5), (1, "u", "<p>x", 5)], "page_id long, url string, html string, text int")
     assert sorted(r["n_chars"] for r in html_extract.extract(pages).collect()) == [0, 1, 1]
