@@ -9,10 +9,11 @@ that holds an article or most of the content is never meant.  Then, per
 path, text length and punctuation are summed over its leaves and divided by their
 number; the two ratios are fused (geometric mean), given to each leaf, smoothed
 over the page's sequence of leaves with a Gaussian window, and leaves above half
-a standard deviation over half the mean are content.  The deepest element that
-holds nearly all content (an article or main element above it, where there is
-one) is the article: all its leaves that aren't left out make the text, so that
-short lines and headings between long paragraphs stay.
+a standard deviation over half the mean are content.  All content leaves are kept.
+So are, but for leaves of lowered ratio: the other leaves of the deepest element
+that holds nearly all content and of every article or main element with content,
+runs of up to ``NEAR`` leaves between kept ones, and a heading at most ``NEAR``
+leaves before a kept one with what is between.
 
 Blocks are the runs of leaves between block-level tags or line breaks.
 
@@ -70,6 +71,8 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _LETTERS = re.compile(r"[a-z]+")
 #: What such a name leaves of its leaves' ratios; the share of the content that no such element may hold.
 NAMED, MOST = 0.1, 2 / 3
+#: So many leaves between kept ones, or from a heading to a kept one, are kept with them.
+NEAR = 3
 _KERNEL = [math.exp(-d * d / 2) for d in (2, 1, 0, 1, 2)]
 
 
@@ -235,6 +238,42 @@ def _article(found: list[tuple[Element, int, str]], chosen: list[bool]) -> Eleme
     return best
 
 
+def _kept(found: list[tuple[Element, int, str]], chosen: list[bool], weight: list[float]) -> set[int]:
+    """Identities of the leaves that make the text."""
+    whole = {id(_article(found, chosen))}  # elements whose leaves all stay, but for those of lowered weight
+    for (e, _, _), c in zip(found, chosen):
+        while c and e is not None:
+            if e.tag in ("article", "main"):
+                whole.add(id(e))
+            e = e.parent
+    under = []
+    for (e, _, _), w in zip(found, weight):
+        while w == 1 and e is not None and id(e) not in whole:
+            e = e.parent
+        under.append(w == 1 and e is not None)
+    keep = [c or u for c, u in zip(chosen, under)]
+    last = None  # the kept leaf before this one
+    heading = None  # the last heading since then
+    plain = [i for i, w in enumerate(weight) if w == 1 or keep[i]]
+    add = []
+    for at, i in enumerate(plain):
+        if keep[i]:
+            first = at if heading is None or at - heading > NEAR else heading
+            if last is not None and at - last <= NEAR + 1:
+                first = last + 1
+            add += plain[first:at]
+            last, heading = at, None
+        elif heading is None or at - heading > NEAR:
+            e = found[i][0]
+            while e is not None and e.tag not in HEADINGS:
+                e = e.parent
+            if e is not None:
+                heading = at
+    for i in add:
+        keep[i] = True
+    return {id(x) for x, k in zip(found, keep) if k}
+
+
 def main_text(page: str) -> str:
     """The article of a page: blocks in page order, joined by line breaks."""
     every = leaves(page) if page else []
@@ -246,14 +285,11 @@ def main_text(page: str) -> str:
     if any(e.named for e, _, _ in found):
         weight = _weights(found, chosen)
         chosen = _content(found, weight)
-    root = _article(found, chosen)
-    keep = {id(x) for x, w in zip(found, weight) if w == 1}
+    keep = _kept(found, chosen, weight)
     out, last, parts = [], None, []
     for x in every:
-        e, block, t = x
-        while e is not None and e is not root:
-            e = e.parent
-        if e is None or not t.isspace() and id(x) not in keep:
+        _, block, t = x
+        if not t.isspace() and id(x) not in keep:
             continue
         if block != last:
             out.append(parts)

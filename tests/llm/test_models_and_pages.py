@@ -96,9 +96,19 @@ def test_page_sections_inside_an_article():
     assert html_extract.main_text(page) == "\n".join(["T", LONG.strip(), "S", LONG.strip(), LONG.strip(), LONG.strip()])
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<body><h1>T</h1><div class=post>{f'<p>{LONG}</p>' * 12}</div></body>", ["T", *[LONG.strip()] * 12]),
+    (f"<body><div class=lead><p>{LONG}</p></div><div class=post>{f'<p>{LONG}</p>' * 12}</div><div class=last><h3>E</h3><p>{LONG}</p></div></body>",
+     [LONG.strip()] * 13 + ["E", LONG.strip()]),
+    (f"<body><article>{f'<p>{LONG}</p>' * 12}</article><article><h2>U</h2><p>{LONG}</p></article></body>", [LONG.strip()] * 12 + ["U", LONG.strip()]),
+])
+def test_page_text_beside_the_root(page, text):
+    assert html_extract.main_text(page) == "\n".join(text)
+
+
 def test_page_deep():
     """End tags of elements below the greatest depth close no outer element."""
-    page = f"<body><article><p>{LONG}</p>{'<div>' * 500}<i>in</i>{'</div>' * 500}<p>{LONG}</p></article><footer>f</footer></body>"
+    page = f"<body><div><article><p>{LONG}</p>{'<div>' * 500}<i>in</i>{'</div>' * 500}<aside>a</aside><p>{LONG}</p></article></div><footer>f</footer></body>"
     assert html_extract.main_text(page) == f"{LONG.strip()}\nin\n{LONG.strip()}"
 
 
