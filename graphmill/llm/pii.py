@@ -4,14 +4,18 @@ Base kinds are found by regular expressions in each whole text.  A starting
 condition added to each expression names the only places where its leftmost,
 non-overlapping matches can start, so a long run is scanned once.
 
-Bootstrapping.  Tokens that hold a digit or an at sign are instances; a pattern
-is the lower-cased word before (or after) a token together with the token's
-shape (runs of digits as ``9``, of letters as ``a``).  Instances that a base match
-starts with are seeds of score 1.  Each round scores a pattern by the mean score
-of its distinct instances (with one imagined instance of score 0) and an
-instance by the chance that any of its patterns is right.  Patterns that hold
-``MIN_SEEDS`` seeds and score ``CONFIDENT`` or more mark tokens of a like score
-outside the base spans as kind ``context``.
+Bootstrapping.  Tokens that hold a digit or an at sign are instances; a context is
+the lower-cased word before (or after) a token, a pattern a context together with
+the token's shape (runs of digits as ``9``, of letters as ``a``).  Instances that a
+base match starts with are seeds of score 1.  Each round scores contexts and
+patterns by the mean score of their distinct instances (with one imagined instance
+of score 0); those that hold ``MIN_SEEDS`` instances of score ``CONFIDENT`` or more
+(seeds or found in an earlier round) count.  A context of that score also speaks for
+shapes that no pattern holds, if at least ``SHAPE`` of the distinct instances of the
+exact shape (digits not run together) are seeds or stand in such contexts.  An
+instance scores the chance that any of its contexts is right, each by its pattern
+or by itself.  Patterns and contexts that score ``CONFIDENT`` or more mark tokens of
+a like score outside the base spans as kind ``context``.
 
 All state is in tables of patterns and instances; texts are read once.
 
@@ -43,6 +47,8 @@ LUHN = """aggregate(sequence(1, length(regexp_replace(m, '[^0-9]', ''))), 0, (a,
   cast(substr(regexp_replace(m, '[^0-9]', ''), i, 1) as int) + 1)) % 10 = 0"""
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 ROUNDS, MIN_SEEDS, CONFIDENT = 3, 3, 0.75
+#: Least share of a shape's instances that trusted contexts must hold.
+SHAPE = 0.5
 
 
 def _sql_text(pattern: str) -> str:
@@ -71,7 +77,7 @@ def _spans(frame: DataFrame, kind: str) -> DataFrame:
 
 
 def _tokens(frame: DataFrame) -> DataFrame:
-    """Adds ``tokens``: (start, end, instance, patterns, seed) of the tokens that may be identifiers."""
+    """Adds ``tokens``: (start, end, instance, patterns, shape, seed) of the tokens that may be identifiers."""
     frame = frame.withColumn("m", F.expr(f"case when digits or contains(t, '@') then regexp_extract_all(t, {_sql_text(TOKEN)}, 0) end"))
     frame = frame.withColumn("g", F.expr(f"case when size(m) > 0 then split(t, {_sql_text(TOKEN)}, -1) end"))
     frame = frame.withColumn("at", F.expr(f"case when size(m) > 0 then {_starts('m', 'g')} end"))
@@ -86,8 +92,9 @@ def _tokens(frame: DataFrame) -> DataFrame:
     return frame.withColumn("tokens", F.expr(rf"""transform(filter(k, x -> length(x.core) > 0), x -> struct(
           x.start as start, x.start + length(x.core) as end, xxhash64(x.core) as instance,
           transform(filter(array(struct('before' as side, x.before as word), struct('after' as side, x.after as word)), y -> y.word <> ''),
-            y -> concat(y.side, ' ', y.word, ' ',
-                        regexp_replace(regexp_replace(x.core, '[0-9]+', '9'), '[A-Za-z]+', 'a'))) as patterns,
+            y -> struct(concat(y.side, ' ', y.word) as context,
+                        concat(y.side, ' ', y.word, ' ', regexp_replace(regexp_replace(x.core, '[0-9]+', '9'), '[A-Za-z]+', 'a')) as pattern)) as patterns,
+          xxhash64(regexp_replace(regexp_replace(x.core, '[0-9]', '9'), '[A-Za-z]+', 'a')) as shape,
           exists({base}, s -> s.start < x.start + length(x.core) and x.start < s.end) as based,
           exists({base}, s -> s.start >= x.start and s.start < x.start + length(x.core)) as seed))""")).drop("m", "g", "at", "before", "after", "k")
 
@@ -101,32 +108,45 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return _tokens(frame).drop("t", "digits").withColumn("row", F.monotonically_increasing_id())
 
 
-def confident(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, least: float = CONFIDENT) -> tuple[DataFrame, DataFrame]:
-    """Scores of the pattern-instance graph: ``pattern`` table and ``instance, score`` table, each of the confident."""
+def confident(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, least: float = CONFIDENT) -> tuple[DataFrame, ...]:
+    """Scores of the pattern-instance graph: tables ``pattern``, ``context``, ``shape`` and ``instance, score``, each of the confident."""
     edges = (found.select(F.explode("tokens").alias("k"))
-             .select(F.explode("k.patterns").alias("pattern"), "k.instance", "k.seed")
-             .groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
+             .select(F.explode("k.patterns").alias("p"), "k.instance", "k.shape", "k.seed")
+             .groupBy("p.context", "p.pattern", "shape", "instance").agg(F.max("seed").alias("seed")))
     edges = settle(edges, "pii-edges")
     seeds = settle(edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("first")), "pii-seeds")
     scores = seeds.select("instance", F.col("first").alias("score"))
     for _ in range(rounds):
-        patterns = edges.join(scores, "instance").groupBy("pattern").agg(
-            (F.sum("score") / (F.count(F.lit(1)) + 1)).alias("trust"), F.sum(F.col("seed").cast("int")).alias("n"))
-        patterns = settle(patterns.where(F.col("n") >= min_seeds), "pii-patterns")
-        doubt = edges.join(patterns, "pattern").groupBy("instance").agg(F.exp(F.sum(F.log1p(-F.col("trust")))).alias("doubt"))
+        scored = settle(edges.join(scores, "instance"), "pii-scored")
+
+        def trusted(node, name, scored=scored):
+            return scored.groupBy(node).agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias(name),
+                                            F.sum((F.col("score") >= least).cast("int")).alias("n")).where(F.col("n") >= min_seeds).drop("n")
+
+        patterns = settle(trusted("pattern", "trust"), "pii-patterns")
+        contexts = settle(trusted("context", "alone").where(F.col("alone") >= least), "pii-contexts")
+        known = edges.join(contexts, "context", "left").groupBy("shape", "instance").agg(
+            F.max((F.col("seed") | F.col("alone").isNotNull()).cast("double")).alias("known"))
+        shapes = settle(known.groupBy("shape").agg(F.avg("known").alias("share")).where(F.col("share") >= SHAPE).select("shape"), "pii-shapes")
+        right = edges.join(patterns, "pattern", "left").join(contexts, "context", "left").join(shapes.withColumn("open", F.lit(True)), "shape", "left")
+        right = right.withColumn("right", F.greatest(F.coalesce("trust", F.lit(0.0)), F.when(F.col("open"), F.col("alone")).otherwise(0.0)))
+        doubt = right.where("right > 0").groupBy("instance").agg(F.exp(F.sum(F.log1p(-F.col("right")))).alias("doubt"))
         doubt = settle(doubt, "pii-doubt")
         scores = settle(seeds.join(doubt, "instance", "left").select(
             "instance", F.greatest("first", 1 - F.coalesce("doubt", F.lit(1.0))).alias("score")), "pii-scores")
-    return patterns.where(F.col("trust") >= least).select("pattern"), scores.where(F.col("score") >= least)
+    return patterns.where(F.col("trust") >= least).select("pattern"), contexts.select("context"), shapes, scores.where(F.col("score") >= least)
 
 
 def extract(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row ``doc_id, email, ip, card, phone, context``: arrays of (start, end) in code points."""
     found = settle(find(docs, key, text), "pii-base")
-    patterns, scores = confident(found)
+    patterns, contexts, shapes, scores = confident(found)
     open_tokens = (found.select("row", F.explode("tokens").alias("k")).where("not k.based")
-                   .select("row", "k.start", "k.end", "k.instance", F.explode("k.patterns").alias("pattern")))
-    unseen = (open_tokens.join(patterns, "pattern").join(scores.select("instance"), "instance")
+                   .select("row", "k.start", "k.end", "k.instance", "k.shape", F.explode("k.patterns").alias("p"))
+                   .select("row", "start", "end", "instance", "shape", "p.context", "p.pattern"))
+    for some, node in ((patterns, "pattern"), (contexts, "context"), (shapes, "shape")):
+        open_tokens = open_tokens.join(some.withColumn(f"in_{node}", F.lit(True)), node, "left")
+    unseen = (open_tokens.where("in_pattern or in_context and in_shape").join(scores.select("instance"), "instance")
               .groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("context")))
     unseen = settle(unseen, "pii-context")
     none = F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)")

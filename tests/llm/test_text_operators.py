@@ -57,6 +57,17 @@ def test_pii_discovers(spark):
     assert got[90] == "context:5:21" and got[91] == "" and got[7] == ""
 
 
+def test_pii_finds_other_shapes_and_chains(spark):
+    """A shape that no base expression matches, by its context; what is found so makes the next context known."""
+    rows = [(i, f"phone +1-555-123-4{i:03d} now") for i in range(40)]
+    rows += [(100 + i, f"phone 555-123-4{i:03d} now") for i in range(8)]  # no base match
+    rows += [(200 + i, f"ring 555-123-4{i:03d} please") for i in range(8)]  # the same numbers after another word
+    rows += [(300, "ring 555.987.6543 please"), (301, "chapter 12 now"), (302, "on 2020-01-02 at 10"), (303, "page 12 of 90")]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.extract(frame(spark, rows))).collect()}
+    assert all(got[100 + i] == "context:6:18" and got[200 + i] == "context:5:17" for i in range(8))
+    assert got[300] == "context:5:17" and got[301] == got[302] == got[303] == ""
+
+
 def test_packing_pieces(spark, sf, documents):
     from tokenizers import Tokenizer
 
