@@ -1,18 +1,21 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs of letters, digits and non-ASCII bytes; seeds are the
-five-word n-grams of the test items.  The items are taken in blocks of at most
+n-grams of the test items, as long as every copy of the wanted similarity must
+share with its item (``seed_words``: at 0.8 four words for items from 16 words,
+three from 6, the whole item below four).  The items are taken in blocks of at most
 ``BLOCK_CHARS`` characters (so whatever the size of the item table, what a task
 holds is bounded); each block meets every document twice, without a shuffle:
 first to count in how many documents each seed occurs, then to align.  Every seed
-opens a candidate; of the seeds of one passage the rarest in the corpus is
+opens a candidate, which is aligned if enough of the item's words stand near it;
+of the seeds of one passage the rarest in the corpus is
 reported as its anchor.  A candidate's surroundings, wide enough for any
 alignment of the wanted similarity, are aligned word by word (match +1, mismatch
 and gap -1).  ``similarity`` is the number of matched words over the longer of
 item and aligned stretch; 0.8 and more counts as contamination.
 
-Cases: null texts count as empty and match nothing; items of fewer than five
-words have no seed and match nothing; an item with a null id is an item like any
+Cases: null texts count as empty and match nothing; items without a word have no
+seed and match nothing; an item with a null id is an item like any
 other; repeated items or documents give a row each; of several passages of one
 item in a document the best is reported.
 """
@@ -28,7 +31,7 @@ from pyspark.sql import types as T
 from graphmill.llm.common import bounded_batches, bytes_of, settle, spans_of_rows, text_of, unused
 from graphmill.llm.words import ALNUM_ONLY, ngrams, words
 
-WORDS, SIMILARITY = 5, 0.8
+SIMILARITY = 0.8
 BLOCK_CHARS = 4 << 20
 SLICE = 1 << 20
 #: A bit table over seed hashes lets most words pass by at the cost of one look-up.
@@ -36,14 +39,32 @@ FILTER_BITS = 22
 _UNIT = 1 << 20
 
 
+def seed_words(n: int, similarity: float) -> int:
+    """Words that an item of ``n`` shares in an unbroken run with each stretch of that similarity.
+
+    ``s`` matched words leave room for ``s / similarity - s`` others, each of which breaks one run.
+    """
+    least = max(1, int(np.ceil(similarity * n - 1e-9)))
+    return min(-(-s // (int(s / similarity - s + 1e-9) + 1)) for s in range(least, min(n, least + 100) + 1))
+
+
 class Block:
     """Word hashes of a block of items and the sorted seeds with the places where they occur."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], similarity: float = SIMILARITY):
         data, offsets = bytes_of(pa.array(texts, pa.large_string()))
         w = words(data, offsets, ALNUM_ONLY)
         self.words = [w.hash[a:b] for a, b in zip(w.first[:-1], w.first[1:])]
-        h, at = ngrams(w, WORDS)
+        count = np.diff(w.first)
+        least = {n: seed_words(n, similarity) for n in np.unique(count[count > 0]).tolist()}
+        own = np.array([least.get(n, 0) for n in count.tolist()], np.int64)  # seed length of each item
+        self.lengths = sorted(set(least.values()))
+        rows, found = w.rows(), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for n in self.lengths:
+            h, at = ngrams(w, n)
+            mine = own[rows[at]] == n if len(at) else np.zeros(0, bool)
+            found.append((h[mine], at[mine]))
+        h, at = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(h, kind="stable")
         h, at = h[order], at[order]
         self.seeds, self.cut = np.unique(h, return_index=True)
@@ -56,12 +77,16 @@ class Block:
     def hits(self, data: np.ndarray, offsets: np.ndarray):
         """Per seed hit: text, word index in the text, seed; and the words."""
         w = words(data, offsets, ALNUM_ONLY)
-        h, at = ngrams(w, WORDS)
-        near = np.flatnonzero(self.maybe[h >> np.uint64(64 - FILTER_BITS)])
-        seed = np.searchsorted(self.seeds, h[near])
-        ok = seed < len(self.seeds)
-        ok[ok] = self.seeds[seed[ok]] == h[near[ok]]
-        at, seed = at[near[ok]], seed[ok]
+        ats, seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n in self.lengths:
+            h, at = ngrams(w, n)
+            near = np.flatnonzero(self.maybe[h >> np.uint64(64 - FILTER_BITS)])
+            seed = np.searchsorted(self.seeds, h[near])
+            ok = seed < len(self.seeds)
+            ok[ok] = self.seeds[seed[ok]] == h[near[ok]]
+            ats.append(at[near[ok]])
+            seeds.append(seed[ok])
+        at, seed = np.concatenate(ats), np.concatenate(seeds)
         row = np.searchsorted(w.first, at, "right") - 1
         return row, at - w.first[row], seed, w
 
@@ -94,14 +119,17 @@ def _matches(block: Block, df: np.ndarray, row, at, seed, w, similarity: float):
     edge = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]), True])
     for a, b in zip(edge[:-1], edge[1:]):
         own, text = block.words[item[a]], w.hash[w.first[row[a]]:w.first[row[a] + 1]]
-        low = np.maximum(at[a:b] - np.ceil(offset[a:b] / similarity).astype(int) - 1, 0)
-        high = at[a:b] + np.ceil((len(own) - offset[a:b]) / similarity).astype(int) + 1
+        spare = int(np.ceil(len(own) / similarity)) - len(own) + 1  # words that the text may have between
+        low = np.maximum(at[a:b] - offset[a:b] - spare, 0)
+        high = at[a:b] + len(own) - offset[a:b] + spare
         order = np.argsort(low)
         low, high, came = low[order], np.maximum.accumulate(high[order]), seed[a:b][order]
         part = np.flatnonzero(np.r_[True, low[1:] > high[:-1], True])
         best = None
         for i, j in zip(part[:-1], part[1:]):
             seen = text[low[i]:high[j - 1]]
+            if np.isin(own, seen).sum() < similarity * len(own) - 1e-9:
+                continue
             score, same, end = align(own, seen)
             alike = same / max(len(own), 2 * same - score)
             if alike >= similarity and (best is None or alike > best[0]):
@@ -133,7 +161,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     for k in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k) if blocks > 1 else items
         rows = some.collect()  # about BLOCK_CHARS / 2 characters
-        block = Block([r["item"] for r in rows])
+        block = Block([r["item"] for r in rows], similarity)
         sent = spark.sparkContext.broadcast(block)
 
         def count(batches, sent=sent):

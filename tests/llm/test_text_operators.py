@@ -213,6 +213,43 @@ def test_contamination_edited_copies(spark, documents):
             assert by[d].encode()[r["start"]:r["end"]].decode() == items[k][1] and r["similarity"] == 1.0
 
 
+@pytest.mark.parametrize("size, edits", [(9, [4]), (14, [4, 9]), (19, [4, 9, 14]), (6, [2]), (1, []), (2, []), (3, []), (4, []), (25, [4, 9, 14, 19, 24])])
+def test_contamination_without_a_run_of_five(size, edits):
+    """Edits that break every run of five words, and items under five words."""
+    item = [f"w{k}" for k in range(size)]
+    copy = [f"x{k}" if k in edits else w for k, w in enumerate(item)]
+    text = " ".join(["before", "it", *copy, "after", "it"])
+    block = decontaminate.Block([" ".join(item)])
+    data, offsets = decontaminate.bytes_of(decontaminate.pa.array([text], decontaminate.pa.large_string()))
+    row, at, seed, w = block.hits(data, offsets)
+    got = list(decontaminate._matches(block, np.ones(len(block.seeds), np.int64), row, at, seed, w, 0.8))
+    score, same = brute.smith_waterman(item, text.split())
+    assert same / max(size, 2 * same - score) >= 0.8 and len(got) == 1 and got[0][2] == same / max(size, 2 * same - score)
+
+
+def test_contamination_random_edits():
+    """Every pair that the plain alignment of whole texts finds."""
+    rng = random.Random(4)
+    items = [[f"i{k}w{j}" for j in range(rng.randrange(1, 40))] for k in range(60)]
+    texts = []
+    for item in items:
+        for _ in range(10):
+            v = list(item)
+            for _ in range(rng.randrange(0, len(item) // 4 + 2)):
+                at = rng.randrange(len(v) + 1)
+                v[at:at + rng.randrange(2)] = rng.choice([["zz"], []])
+            texts.append(["a", "b", *v, "c"])
+    block = decontaminate.Block([" ".join(i) for i in items])
+    data, offsets = decontaminate.bytes_of(decontaminate.pa.array([" ".join(t) for t in texts], decontaminate.pa.large_string()))
+    got = {(m[0], m[1]) for m in decontaminate._matches(block, np.ones(len(block.seeds), np.int64), *block.hits(data, offsets), 0.8)}
+    want = set()
+    for n, text in enumerate(texts):
+        score, same = brute.smith_waterman(items[n // 10], text)
+        if same / max(len(items[n // 10]), 2 * same - score) >= 0.8:
+            want.add((n, n // 10))
+    assert got == want and len(want) > 200
+
+
 def test_contamination_blocks(spark, monkeypatch, documents):
     items = [(k, t[:300], 1) for k, (_, t) in enumerate(documents[:12])]
     docs = frame(spark, documents[:40])
