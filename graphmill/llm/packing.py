@@ -8,7 +8,9 @@ crossover injects whole well-filled bins of one parent into another, takes out
 the bins that hold the same pieces, and best-fits the displaced pieces, largest
 first.  After each epoch an island's elite migrates to its neighbour in a ring.
 The best packing of a block stands; pieces of its poorly filled bins are dealt over
-fewer blocks and packed once more.  Only lengths and small
+fewer blocks and packed again, until one block is left or a level frees no bin (then
+the bins stay as they were).  A lone piece that no other piece fits beside is final.
+Only lengths and small
 records move; a block's size is bounded, whatever the input.
 
 Cases: null texts count as empty and give a piece of the end id alone; repeated
@@ -33,8 +35,7 @@ from graphmill.llm.common import bounded_batches, settle, text_of
 CAPACITY, END_ID = 1024, 2
 BLOCK_ITEMS, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 8, 4
 #: Bins filled to less than this share are packed again at the next level.
-POOR = 0.9
-LEVELS = 2
+POOR = 0.97
 #: Fixed value: how byte-level vocabularies split texts before merging.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -245,7 +246,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     done = [every.where(F.col("length") == capacity).select(
         *cols, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     rest = every.where(F.col("length") < capacity).withColumn("part", F.spark_partition_id())
-    level, base = 0, 0
+    level, base, carried, bins = 0, 0, None, 0
     while True:
         n = rest.count()
         if not n:
@@ -257,19 +258,26 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
                         capacity, islands, epochs, generations, population)
         placed = (dealt.join(best, "block").select("block", F.inline(F.arrays_zip("items", "bins")))
                   .select("block", "items.*", F.col("bins").alias("bin")))
-        last = blocks == 1 or level + 1 == LEVELS
         by_bin = (placed.groupBy("block", "bin").agg(F.collect_list(F.struct("length", *[c for c in cols if c != "length"], "row", "part"))
                                                      .alias("items"), F.sum("length").alias("fill")))
-        by_bin = settle(by_bin, "bins")
-        keep = by_bin if last else by_bin.where(F.col("fill") >= POOR * capacity)
+        by_bin = settle(by_bin.select((F.col("block") * block_items * 4 + F.col("bin") + F.lit(base)).alias("sequence_id"), "items", "fill"), "bins")
+        base += blocks * block_items * 4
+        if carried is not None and by_bin.count() >= bins:
+            keep, rest = carried, None  # this level freed no bin
+        else:
+            poor = F.lit(False)
+            if blocks > 1:
+                open_bins = by_bin.where(F.col("fill") < POOR * capacity)
+                least = open_bins.agg(F.min(F.array_min(F.transform("items", lambda x: x["length"])))).first()[0]
+                poor = (F.col("fill") < POOR * capacity) & ((F.size("items") > 1) | (F.col("fill") + F.lit(least) <= capacity))
+            keep, carried = by_bin.where(~poor), by_bin.where(poor)
+            bins = carried.count()
+            rest = carried.select(F.inline("items")).select(*cols, "row", "part") if bins else None
         offsets = F.expr("transform(items, (x, i) -> aggregate(slice(items, 1, i), 0L, (s, y) -> s + y.length))")
-        done.append(keep.select((F.col("block") * block_items * 4 + F.col("bin") + F.lit(base)).alias("sequence_id"),
-                                F.inline(F.arrays_zip("items", offsets.alias("offset"))))
+        done.append(keep.select("sequence_id", F.inline(F.arrays_zip("items", offsets.alias("offset"))))
                     .select("items.*", "sequence_id", "offset").select(*cols, "sequence_id", "offset"))
-        if last:
+        if rest is None:
             break
-        base += blocks * block_items * 4
-        rest = by_bin.where(F.col("fill") < POOR * capacity).select(F.inline("items")).select(*cols, "row", "part")
         level += 1
     out = done[0]
     for more in done[1:]:

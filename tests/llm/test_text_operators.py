@@ -101,6 +101,18 @@ def test_packing_levels(spark):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_packing_joins_blocks(spark, monkeypatch):
+    """Small blocks: levels go on until none frees a bin, so pieces of different blocks meet."""
+    rows = [(i, " ".join(["the"] * n)) for i, n in enumerate([479, 543] * 40)]
+    out = packing.pack(frame(spark, rows), block_items=4, islands=1, epochs=1, generations=2).toPandas()
+    assert sorted(out["doc_id"]) == list(range(80))
+    for _, s in out.sort_values("offset").groupby("sequence_id"):
+        assert (s["offset"].to_numpy() == np.r_[0, s["length"].cumsum().to_numpy()[:-1]]).all() and s["length"].sum() <= 1024
+    assert out["sequence_id"].nunique() <= 43  # 40 at least
+    lone = packing.pack(frame(spark, [(i, " ".join(["the"] * 600)) for i in range(40)]), block_items=4).toPandas()
+    assert lone["sequence_id"].nunique() == 40
+
+
 def test_simhash(spark, sf, documents):
     got = {r["doc_id"]: r for r in QUERIES["op9_simhash"](spark, sf).collect()}
     fps = [brute.fingerprint(t) for _, t in documents]
