@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphmill.llm import chat, decontaminate, exact_dedup, html_extract, packing, pii, quality, simhash, suffix_dedup, toxicity
+from graphmill.llm import (chat, conversation_repair, decontaminate, exact_dedup, html_extract, packing, pii, quality, simhash,
+                           suffix_dedup, token_counts, toxicity)
 from graphmill.llm.common import table
 
 
@@ -53,8 +54,16 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir))
 
 
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_toxicity, op4_decontamination, op5_suffix, op6_html, op7_quality,
-                                   op8_chat, op9_simhash, op10_exact)}
+                                   op8_chat, op9_simhash, op10_exact, op12_tokens, op13_repair)}
 
 ORACLE: dict[str, str] = {
     "op8_chat": chat.ROTATE_SQL,

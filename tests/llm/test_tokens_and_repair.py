@@ -1,0 +1,170 @@
+"""Token counts against the library at every prefix; conversation repair against an exhaustive search."""
+
+from __future__ import annotations
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from graphmill.llm import conversation_repair, token_counts
+from graphmill.llm.queries import QUERIES
+
+ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "▁b ▁", "<s> </s> <unk> <0x0A>", "\n\n a\r\n\t", "中文 字", "😀x́", "\x00a", "e.g. don't, stop... it's!", "0123 45",
+       "x" * 300, "ab " * 5000, "－" * 50, "ça  éàü"]
+
+
+@pytest.fixture(scope="module")
+def model():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=token_counts.default_model())
+
+
+def test_counts_of_all_documents(spark, sf, documents, model):
+    got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op12_tokens"](spark, sf).collect()}
+    want = {}
+    for i, t in documents:
+        n = len(model.encode(t or ""))
+        want[i] = (len((t or "").encode()), n, n > 4096)
+    assert got == want
+
+
+def test_counts_at_every_prefix(model, monkeypatch):
+    own = token_counts.counter(token_counts.default_model())
+    rng = random.Random(3)
+    texts = ODD[:-4] + ["".join(rng.choice("aaeethinosr  \n\t.,▁éüÖ中①<s>/x012 ingthe'-  ") for _ in range(rng.randrange(40))) for _ in range(400)]
+    monkeypatch.setattr(token_counts, "SLICE", 7)  # cut between words and inside them
+    monkeypatch.setattr(token_counts, "MEMO", 50)
+    for t in texts:
+        sums = np.cumsum(np.frombuffer(own.steps(t), np.int8))
+        assert [*sums[1:]] == [len(model.encode(t[:k])) for k in range(1, len(t) + 1)], t
+        assert own.count(t) == len(model.encode(t))
+
+
+def test_prefix_questions(spark, model):
+    rows = [(i, t, 7, "x") for i, t in enumerate(ODD)] + [(None, None, 7, "x"), (1, "a", 7, "x"), (1, "a", 7, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, `steps.x` string")
+    table = token_counts.prefix_table(docs, limit=100)
+    for r in token_counts.truncate(table, F.lit(9)).collect():
+        t = ODD[r["doc_id"]] if r["doc_id"] is not None else ""
+        counts = [0] + [len(model.encode(t[:k])) for k in range(1, min(len(t), 400) + 1)]
+        best = max(k for k, n in enumerate(counts) if n <= 9)
+        assert (r["n_chars"], r["prefix_tokens"]) == (best, counts[best])
+        assert r["n_tokens"] == len(model.encode(t)) and r["over_limit"] == (r["n_tokens"] > 100)
+    for r in token_counts.prefix_tokens(table, F.when(F.col("doc_id") != 3, F.col("doc_id"))).collect():
+        if r["doc_id"] in (None, 3):
+            assert r["prefix_tokens"] is None
+        else:
+            assert r["prefix_tokens"] == len(model.encode(ODD[r["doc_id"]][:r["doc_id"]]))
+    assert token_counts.token_counts(docs.limit(0)).count() == 0 and token_counts.truncate(token_counts.prefix_table(docs.limit(0)), F.lit(1)).count() == 0
+
+
+# --------------------------------------------------------------------------- conversation repair
+
+def damaged(rows):
+    """Rows (conv, turn, role, text) after damage, in order, by conversation."""
+    out = {}
+    for conv, turn, role, text in rows:
+        out.setdefault(conv, [])
+        kind = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        role, text = (" " if x is None else x for x in (role, text))
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out[conv] += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode())
+    return {c: sorted(r, key=order) for c, r in out.items()}
+
+
+def faults_of(rows):
+    seen, out = set(), []
+    for _, role, text in rows:
+        t = re.sub(r"[\x20\x09-\x0D]+\Z", "", text)
+        out.append("blank" if not t else "duplicate" if (role, text) in seen else "truncated" if t[-1] not in ".!?" else None)
+        seen.add((role, text))
+    return out
+
+
+def search(rows, faults):
+    """Cheapest edits by best-first search over (cost, audit): the first goal met is the ASCII-least of the cheapest."""
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, state, text = heapq.heappop(heap)
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        if i == len(rows) and state in ("", "a"):
+            return cost, audit, "\n".join(text)
+        for role in ("user", "assistant"):
+            if (state, role[0]) in step:
+                heapq.heappush(heap, (cost + 2, audit + "I", i, role[0], (*text, role + ":")))
+        if i < len(rows):
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, state, text))
+            if faults[i] not in ("blank", "duplicate"):
+                more = faults[i] == "truncated"
+                _, role, body = rows[i]
+                if (state, role[:1]) in step:
+                    heapq.heappush(heap, (cost + more, audit + "K", i + 1, role[:1], (*text, f"{role}:{body}")))
+                for to in ("user", "assistant"):
+                    if (state, to[0]) in step:
+                        heapq.heappush(heap, (cost + 2 + more, audit + "R", i + 1, to[0], (*text, f"{to}:{body}")))
+
+
+def plain_repair(rows):
+    out = {}
+    for conv, own in damaged(rows).items():
+        faults = faults_of(own)
+        cost, audit, text = search(own, faults)
+        turns = {r[0] for r in own} - {None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        out[conv] = (gaps, *(faults.count(k) for k in ("blank", "duplicate", "truncated")), illegal, cost, audit,
+                     hashlib.sha256(text.encode()).hexdigest())
+    return out
+
+
+def test_repair_of_all_conversations(spark, sf):
+    got = {r["conv_id"]: tuple(r)[1:] for r in QUERIES["op13_repair"](spark, sf).collect()}
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert got == plain_repair(rows)
+    assert sum(r[5] for r in got.values()) > 0
+
+
+def test_repair_awkward(spark):
+    rng = random.Random(11)
+    roles = ["user", "assistant", "system", "tool", "", None, "Sys"]
+    texts = ["Yes.", "No", "", " \n\t", None, "Why?", "ok! ", "x. ", "Yes.", "mid. way"]
+    rows = [(c, rng.choice([None, *range(-2, 12)]), rng.choice(roles[:3 + c % 5]), rng.choice(texts)) for c in range(200) for _ in range(rng.randrange(1, 12))]
+    rows += [(None, t, "user", "Yes.") for t in (1, 1, 1, 3, None)] + [(777, 0, "user", "Hi.")] * 40
+    dropped = next(c for c in range(1000, 2000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    rows += [(dropped, 0, "user", "gone.")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, copies int, code int")
+    got = {r["conv_id"]: tuple(r)[1:] for r in conversation_repair.repair(conversation_repair.damage(docs)).collect()}
+    want = plain_repair(rows)
+    assert {c: (got.get(c), w) for c, w in want.items() if got.get(c) != w} == {} and set(got) == set(want)
+    assert got[dropped] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert conversation_repair.repair(conversation_repair.damage(docs.limit(0))).count() == 0
+
+
+def test_cheapest_of_long_conversations():
+    """Checkpointed walks give the costs and audits of a walk over the whole table of vectors."""
+    rng = random.Random(2)
+    for n in (0, 1, 2, 3, 7, 8, 9, 50, 400, 1000):
+        codes = bytes(rng.choice([1, 2, 3, 0, 2, 3, 2, 3, 6, 10, 11, 7]) for _ in range(n))
+        vectors = [conversation_repair._END]
+        for c in reversed(codes):
+            vectors.append(conversation_repair._before(c, vectors[-1]))
+        total, audit = conversation_repair.cheapest(codes)
+        assert total == vectors[-1][0] and len(audit) - audit.count(b"I") == n
+    long = bytes([2, 3]) * 500_000
+    assert conversation_repair.cheapest(long) == (0, b"K" * len(long))
