@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphmill.llm import (chat, conversation_repair, decontaminate, exact_dedup, html_extract, packing, pii, quality, simhash,
+from graphmill.llm import (chat, collocations, conversation_repair, decontaminate, exact_dedup, html_extract, packing, pii, quality, simhash,
                            suffix_dedup, token_counts, toxicity)
 from graphmill.llm.common import table
 
@@ -54,6 +54,10 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir))
 
@@ -63,10 +67,11 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_toxicity, op4_decontamination, op5_suffix, op6_html, op7_quality,
-                                   op8_chat, op9_simhash, op10_exact, op12_tokens, op13_repair)}
+                                   op8_chat, op9_simhash, op10_exact, op11_collocations, op12_tokens, op13_repair)}
 
 ORACLE: dict[str, str] = {
     "op8_chat": chat.ROTATE_SQL,
+    "op11_collocations": collocations.COLLOCATIONS_SQL,
     "op10_exact": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
