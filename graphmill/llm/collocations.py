@@ -69,17 +69,17 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, w: Words) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray):
-    """Ranges of rows ``(first, end, from byte, to byte)`` of about ``SLICE`` bytes; longer texts are cut behind a mark."""
+def _runs(data: np.ndarray, offsets: np.ndarray, size: int = SLICE):
+    """Ranges of rows ``(first, end, from byte, to byte)`` of about ``size`` bytes; longer texts are cut behind a mark."""
     first, n = 0, len(offsets) - 1
     while first < n:
-        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1)
+        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         at, stop = int(offsets[first]), int(offsets[end])
-        while stop - at > SLICE and end == first + 1:
-            cut = at + SLICE
+        while stop - at > size and end == first + 1:
+            cut = at + size
             while cut < stop and not _BREAK[data[cut]]:
-                more = np.flatnonzero(_BREAK[data[cut:cut + SLICE]])
-                cut += int(more[0]) if len(more) else SLICE
+                more = np.flatnonzero(_BREAK[data[cut:cut + size]])
+                cut += int(more[0]) if len(more) else size
             if cut >= stop:
                 break
             yield first, end, at, cut + 1
@@ -96,7 +96,7 @@ def _gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(body)]).cast(pa.binary())
 
 
-def parse(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def parse(data: np.ndarray, offsets: np.ndarray, trigger: int = TRIGGER, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Chunks of some texts: text, first byte, end byte (with the overlap), number of own words."""
     w = words(data, offsets, _KINDS, LOWER)
     n = len(w.start)
@@ -106,10 +106,10 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ends = np.ones(n, bool)
     ends[:-1] = rows[1:] != rows[:-1]
     before = np.r_[U(0), w.hash[:-1]]
-    ends |= mix(before * U(0x9E3779B97F4A7C15) + w.hash) % U(TRIGGER) == 0
+    ends |= mix(before * U(0x9E3779B97F4A7C15) + w.hash) % U(trigger) == 0
     first = np.r_[0, np.flatnonzero(ends)[:-1] + 1]
     since = at - np.repeat(first, np.diff(np.r_[first, n]))
-    ends |= since % LONGEST == LONGEST - 1
+    ends |= since % longest == longest - 1
     last = np.flatnonzero(ends)
     first = np.r_[0, last[:-1] + 1]
     piece_end = np.searchsorted(piece, piece[last], "right") - 1
@@ -117,7 +117,7 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rows[first], w.start[first], w.end[reach], last - first + 1
 
 
-def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", trigger: int = TRIGGER, longest: int = LONGEST, size: int = SLICE) -> DataFrame:
     """Distinct chunks: ``lang, chunk, own`` (words that are its own) and the parse frequency ``n``."""
     bounded_batches(docs.sparkSession)
     given = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), text_of(f"`{text}`").cast("binary").alias("t"))
@@ -125,9 +125,9 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     def run(batches):
         for batch in batches:
             data, offsets = bytes_of(batch.column(1))
-            for first, end, at, stop in _runs(data, offsets):
+            for first, end, at, stop in _runs(data, offsets, size):
                 body = data[at:stop]
-                row, start, last, own = parse(body, np.clip(offsets[first:end + 1], at, stop) - at)
+                row, start, last, own = parse(body, np.clip(offsets[first:end + 1], at, stop) - at, trigger, longest)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + row)), _gather(_FOLD[body], start, last),
                                                   pa.array(own.astype(np.int32))], names=["lang", "chunk", "own"])
 
@@ -164,7 +164,7 @@ class Grams:
                 ok[:-1] &= out[-1][1:]
             table = tables[n - 1] if n <= len(tables) else None
             if table is not None:
-                slot = self.hash[n - 1] >> U(64 - FILTER_BITS)
+                slot = self.hash[n - 1] >> U(64 - (len(table) * 64 - 1).bit_length())
                 ok &= (table[slot >> U(6)] >> (slot & U(63)) & U(1)).astype(bool)
             out.append(ok)
         return out
@@ -202,7 +202,7 @@ def _summed(h: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     return h[cut], np.add.reduceat(n, cut) if len(cut) else n
 
 
-def _frequent(chunks: DataFrame, lengths: list[int], tables: list, least: int) -> list[np.ndarray]:
+def _frequent(chunks: DataFrame, lengths: list[int], tables: list, least: int, bits: int, most: int) -> list[np.ndarray]:
     """Per length of phrase a table of bits of the hashes of ``least`` occurrences and more."""
     spark = chunks.sparkSession
     sent = spark.sparkContext.broadcast(tables)
@@ -225,33 +225,33 @@ def _frequent(chunks: DataFrame, lengths: list[int], tables: list, least: int) -
                 held[n][0].append(h)
                 held[n][1].append(c)
                 size += len(h)
-            if size > HELD:
+            if size > most:
                 for n in lengths:
                     h, c = _summed(*held[n])
                     held[n] = [h], [c]
                 size = sum(len(held[n][0][0]) for n in lengths)
-                if size > HELD // 2:
+                if size > most // 2:
                     yield from flush()
                     held, size = {n: ([], []) for n in lengths}, 0
         yield from flush()
 
     counts = _over_chunks(chunks, "words int, h long, n long", task).groupBy("words", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    slot = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    bits = counts.groupBy("words", F.shiftright(slot, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - FILTER_BITS}) & 63 AS INT))")).alias("bits")).toArrow()  # at most 2 ** FILTER_BITS bits a length
-    out, given, at, value = [], *(bits.column(c).to_numpy() for c in ("words", "at", "bits"))
+    slot = F.shiftrightunsigned("h", 64 - bits)
+    found = counts.groupBy("words", F.shiftright(slot, 6).alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - bits}) & 63 AS INT))")).alias("bits")).toArrow()  # at most 2 ** bits bits a length
+    out, given, at, value = [], *(found.column(c).to_numpy() for c in ("words", "at", "bits"))
     for n in lengths:
-        table = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+        table = np.zeros(1 << bits - 6, np.uint64)
         table[at[given == n]] = value[given == n].view(np.uint64)
         out.append(table)
     return out
 
 
-def phrases(chunks: DataFrame, least: int = LEAST) -> DataFrame:
+def phrases(chunks: DataFrame, least: int = LEAST, bits: int = FILTER_BITS, held: int = HELD) -> DataFrame:
     """``lang, phrase, words, f``: the phrases of one to four words with ``least`` occurrences and more."""
     tables: list = []
     for lengths in ([1], [2], [3, 4]):
-        tables += _frequent(chunks, lengths, tables, least)
+        tables += _frequent(chunks, lengths, tables, least, bits, held)
     sent = chunks.sparkSession.sparkContext.broadcast(tables)
     schema = "lang string, phrase string, words int, n long"
 
@@ -294,7 +294,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     of their occurrences.
     """
     chunks = dictionary(docs, text, lang)
-    table = phrases(chunks, least)
+    return rank(chunks, phrases(chunks, least), covered, first)
+
+
+def rank(chunks: DataFrame, table: DataFrame, covered: int = COVERED, first: int = FIRST) -> DataFrame:
+    """The result of ``collocations`` from the chunks and their phrases."""
     n = chunks.groupBy("lang").agg(F.sum(F.col("own") * F.col("n")).alias("n"))
     many = table.where("words > 1")
     cuts = many.select("lang", "phrase", F.col("f").alias("a"), "words", F.explode(F.expr("sequence(1, words - 1)")).alias("k"))

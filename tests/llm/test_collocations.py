@@ -50,9 +50,7 @@ def test_against_sql(spark, sf):
 
 
 @pytest.mark.parametrize("slice_bytes, trigger, longest, bits, held", [(1 << 20, 32, 256, 27, 1 << 22), (64, 4, 7, 12, 50), (500, 1, 1, 20, 1)])
-def test_against_plain(spark, monkeypatch, slice_bytes, trigger, longest, bits, held):
-    for name, value in (("SLICE", slice_bytes), ("TRIGGER", trigger), ("LONGEST", longest), ("FILTER_BITS", bits), ("HELD", held)):
-        monkeypatch.setattr(collocations, name, value)
+def test_against_plain(spark, slice_bytes, trigger, longest, bits, held):
     rng = random.Random(4)
     some = ["The", "the", "of", "a", "éa", "中", "cat", "x", " ", "don't"]
     glue = [" ", " ", " ", " ", "  ", "\t", " \t ", ". ", ",", "\r\n", "?!"]
@@ -60,7 +58,8 @@ def test_against_plain(spark, monkeypatch, slice_bytes, trigger, longest, bits,
     rows += [("shared passage of words the cat sat on. " * 3, "en")] * 40
     rows += [(None, "en"), ("", None), (" \t\n", "de"), ("aa aa aa aa aa aa " * 40, "one"), ("lone", "none"), ("x" * 3000 + " of a", "de")]
     docs = spark.createDataFrame([(i, t, g, 1, "y") for i, (t, g) in enumerate(rows)], "doc_id long, text string, lang string, n int, own string")
-    got = sorted(tuple(r) for r in collocations.collocations(docs, least=5, first=40).collect())
+    chunks = collocations.dictionary(docs, trigger=trigger, longest=longest, size=slice_bytes)
+    got = sorted(tuple(r) for r in collocations.rank(chunks, collocations.phrases(chunks, 5, bits, held), first=40).collect())
     assert got == plain(rows, 5, first=40)
     assert len(got) > 30
 
