@@ -105,7 +105,7 @@ def parse(data: np.ndarray, offsets: np.ndarray, trigger: int = TRIGGER, longest
     rows, piece, at = w.rows(), _pieces(data, offsets, w), np.arange(n)
     ends = np.ones(n, bool)
     ends[:-1] = rows[1:] != rows[:-1]
-    before = np.r_[U(0), w.hash[:-1]]
+    before = np.r_[U(0), np.where(ends[:-1], U(0), w.hash[:-1])]  # none before a text's first word
     ends |= mix(before * U(0x9E3779B97F4A7C15) + w.hash) % U(trigger) == 0
     first = np.r_[0, np.flatnonzero(ends)[:-1] + 1]
     since = at - np.repeat(first, np.diff(np.r_[first, n]))
