@@ -7,7 +7,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphmill.session import state_root
@@ -33,6 +33,32 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a table of keys: 16 for each key, and at most so many (a broadcast of 2 ** 20 rows).
+FEWEST_BITS, MOST_BITS = 16, 26
+
+
+def may_hold(rows: DataFrame, key: Column, keys: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` may be among ``n`` 64-bit hashes ``keys (k)``, and rows whose key surely isn't.
+
+    The hashes become a table of bits of bounded size that all tasks get, so a join that needs the exact answer moves
+    the few rows that may have it and the others stay where they are.  Beyond its bound the table fills up: more rows
+    move, none is lost.
+    """
+    bits = min(max((16 * n).bit_length(), FEWEST_BITS), MOST_BITS)
+
+    def place(k):
+        return F.shiftrightunsigned(k, 64 - bits)
+
+    at, held = unused(rows, "bits_at"), unused(rows, "bits_held")
+    slot = place(F.col("k"))
+    table = settle(keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias(at)).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias(held)), "key-bits")
+    own = unused(rows, "bits_slot")
+    marked = rows.withColumn(own, place(key)).withColumn(at, F.shiftright(own, 6)).join(F.broadcast(table), at, "left")
+    hit = F.expr(f"shiftright(coalesce(`{held}`, 0L), CAST(`{own}` & 63 AS INT)) & 1") == 1
+    return tuple(marked.where(x).select(*[F.col(f"`{c}`") for c in rows.columns]) for x in (hit, ~hit))
+
+
 def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     """Bound the bytes of an Arrow batch, so that very long texts don't pile up in one."""
     if spark.conf.get(BATCH_BYTES, None) in (None, "-1", "2147483647"):

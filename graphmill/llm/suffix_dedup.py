@@ -7,23 +7,30 @@ in suffix order; only suffixes that may have an equal are ever sorted, bucket by
 bucket.
 
 1. Anchors.  A string's anchor is its ``GRAM``-byte substring of least hash (the
-   leftmost of equals).  Strings with one anchor make a run of starts; equal strings
-   have equal anchors at equal offsets, so a suffix bucket is an anchor's hash.
-2. A run's record (anchor, digest of the text that the run covers, place) goes to
+   leftmost of equals), substrings that are common in the corpus coming last: a first
+   pass counts all substrings in a sketch of fixed size, and the slots with 1 /
+   ``COMMON`` of all places or more, at most ``COMMON``, are common.  So a string at the edge of a passage
+   that all documents share is anchored outside it.  Strings with one anchor
+   make a run of starts; equal strings have equal anchors at equal offsets, so a suffix
+   bucket is an anchor's hash.
+2. A run's record (anchor, 128-bit digest of the text that the run covers, place) goes to
    its bucket.  Runs of equal digest are equal throughout: all but the first are
-   repeats as they stand.  The firsts of buckets with several digests are left.
+   repeats as they stand; a task sends on the first of those that it meets itself, so a
+   run that a third of all documents hold is one record a task.  The firsts of
+   buckets with several digests are left.
 3. Those runs' texts go to their buckets, and each bucket's suffixes are sorted a
    block at a time.  Texts are laid out so that the anchor is at residue 0 modulo
    ``PERIOD``; the suffixes at the residues of a difference cover are ranked first, by
    ``LENGTH`` bytes.  Any suffix is then compared by its few bytes before the next
    cover position and by that position's rank, so long ties cost one number.
    Neighbours of ``LENGTH`` equal bytes are one class, of which the first stays.
-4. Documents are joined with the starts of their repeats and cut.
+   A bucket of more than ``BLOCK`` bytes is dealt finer: its suffixes go one by one to
+   buckets by the hash of their ``LENGTH`` bytes, and are sorted there.
+4. Documents that have repeats are joined with them and cut; the others aren't moved.
 
-Anchors that hold more than 1/2048 of all runs (at most 4096, found in a pass of
-their own) would make hot buckets.  Their records are dealt by digest, and salted;
-their left-over runs are split into single suffixes, told apart by digests of
-their bytes and dealt by them.  Digests have 64 bits.
+Records and texts arrive sorted by bucket (Spark's sort spills), so a task holds a
+batch of records, or a block of texts, whatever its partition has; the number of
+partitions follows the number of runs.
 
 Cases: a null text counts as empty; texts under ``LENGTH`` bytes lose nothing; rows
 with a null id come after all others; rows with one id and one text are one
@@ -37,16 +44,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import bounded_batches, bytes_of, settle, spans_of_rows, text_of
+from graphmill.llm.common import bounded_batches, bytes_of, may_hold, settle, spans_of_rows, text_of
 from graphmill.llm.words import BASE, U, _power_table, mix
 
 LENGTH, GRAM, PERIOD = 100, 36, 32
 GRAMS = LENGTH - GRAM + 1
-SLICE, BLOCK = 1 << 20, 4 << 20
-HEAVY, SALTS = 4096, 64
+SLICE, BLOCK = 1 << 20, 1 << 20
+#: Slots of the sketch of substrings, and the share of places that makes one common.
+SLOT_BITS, COMMON, LEAST_COMMON = 22, 1 << 16, 256
+#: Runs that a partition holds, about.
+PARTITION_RUNS = 1 << 21
 LAST_ID = (1 << 63) - 1
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
@@ -66,27 +77,35 @@ COVER = np.array(cover(PERIOD))
 TO_COVER = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
 
 
-def _sums(data: np.ndarray):
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes at every position."""
     n = len(data)
+    if n < GRAM:
+        return np.zeros(0, np.uint64)
     powers, back = _power_table("up", BASE, n + 1), _power_table("down", pow(BASE, -1, 1 << 64), n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * powers[:n], out=sums[1:])
-    return sums, back
+    return mix((sums[GRAM:] - sums[:-GRAM]) * back[:n - GRAM + 1])
 
 
-def _digest(sums, back, start, end):
-    return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> U(64 - SLOT_BITS)).astype(np.int64)
 
 
-def runs(data: np.ndarray, offsets: np.ndarray):
-    """Runs of string starts with one anchor: ``text, first start in it, starts, anchor - start, hash, digest``."""
+def runs(data: np.ndarray, offsets: np.ndarray, common: np.ndarray | None = None):
+    """Runs of string starts with one anchor: ``text, first start in it, starts, anchor - start, hash``.
+
+    ``common``: true for the slots of substrings that are anchors only where there is no other.
+    """
     n = len(data) - LENGTH + 1
     if n <= 0:
-        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
-    sums, back = _sums(data)
-    at = np.arange(len(data) - GRAM + 1)
-    h = mix((sums[GRAM:] - sums[:-GRAM]) * back[at])
-    key = (h & U(0xFFFFFFFF00000000)) | at.astype(np.uint64)  # least hash, then leftmost
+        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)]
+    h = gram_hashes(data)
+    at = np.arange(len(h))
+    order = h >> U(1)
+    if common is not None:
+        order |= common[_slot(h)].astype(np.uint64) << U(63)
+    key = (order & U(0xFFFFFFFF00000000)) | at.astype(np.uint64)  # not common, least hash, then leftmost
     width = 1
     while 2 * width <= GRAMS:
         key = np.minimum(key[:-width], key[width:])
@@ -99,7 +118,7 @@ def runs(data: np.ndarray, offsets: np.ndarray):
     new[1:] &= (anchor[1:] != anchor[:-1]) | ~whole[:-1] | (row[1:] != row[:-1])
     low = np.flatnonzero(new)
     count = np.diff(np.r_[np.cumsum(whole)[low] - 1, whole.sum()])
-    return row[low], low - offsets[row[low]], count, anchor[low] - low, h[anchor[low]], _digest(sums, back, low, low + count - 1 + LENGTH)
+    return row[low], low - offsets[row[low]], count, anchor[low] - low, h[anchor[low]]
 
 
 def _pieces(offsets: np.ndarray):
@@ -112,33 +131,9 @@ def _pieces(offsets: np.ndarray):
             yield first, end, offsets[first], offsets[end]
 
 
-def _all_runs(batch):
-    """Runs of a batch ``ord, sub, bytes``: ``ord, sub, lo, n, back, h, c`` arrays, piece by piece."""
-    order, sub = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-    data, offsets = bytes_of(batch.column(2))
-    for first, end, s, e in _pieces(offsets):
-        cut = np.clip(offsets[first:end + 1], s, e) - s
-        row, lo, n, back, h, c = runs(data[s:e], cut)
-        shift = s - offsets[first] if end == first + 1 else 0
-        yield order[first + row], sub[first + row], lo + shift, n, back, h, c
-
-
-RECORD = ("ord", "sub", "lo", "n", "back", "h", "c")
-BLOBS = "bucket long, " + ", ".join(f"{c} array<bigint>" for c in RECORD)
-
-
-def _blobs(bucket: np.ndarray, cols: dict) -> pa.RecordBatch:
-    """One row a bucket, with an array for each column."""
-    order = np.argsort(bucket, kind="stable")
-    names, start = np.unique(bucket[order], return_index=True)
-    cut = pa.array(np.r_[start, len(order)].astype(np.int32))
-    lists = [pa.ListArray.from_arrays(cut, pa.array(x[order].view(np.int64))) for x in cols.values()]
-    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), *lists], names=["bucket", *cols])
-
-
-def _flat(batches, names) -> list[np.ndarray]:
-    given = list(batches)
-    return [np.concatenate([b.column(c).flatten().to_numpy() for b in given]) if given else np.zeros(0, np.int64) for c in names]
+def _packed(lo: np.ndarray, n: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """A run's place in its text, as one number that sorts by its start."""
+    return lo << 16 | n << 8 | back
 
 
 def _changes(*cols) -> np.ndarray:
@@ -150,30 +145,76 @@ def _changes(*cols) -> np.ndarray:
     return out
 
 
-def _firsts(salts: int):
-    """Task code: per (h, c) the first place stays (state 1), other places are repeats (state 0); all of ``salts`` > 0 stay apart."""
-    def run(batches):
-        o, s, lo, n, back, h, c = _flat(batches, RECORD)
-        order = np.lexsort((lo, s, o, c, h))
-        o, s, lo, n, back, h, c = (x[order] for x in (o, s, lo, n, back, h, c))
-        group = np.cumsum(_changes(h, c)) - 1
-        at = np.flatnonzero(_changes(h, c))[group] if len(h) else group
-        first = (o == o[at]) & (s == s[at]) & (lo == lo[at])
-        several = np.ones(len(h), bool)
-        if not salts and len(h):
-            own = np.cumsum(_changes(h)) - 1
-            digests = np.bincount(own, _changes(h, c))
-            several = (digests > 1)[own]
-        state = np.where(first, np.where(several, 1, -1), 0)
-        for value in (0, 1):
-            k = np.flatnonzero(state == value)
-            if len(k):
-                yield value, [x[k] for x in (o, s, lo, n, back, h, c)]
-    return run
-
-
-def _bucket(x: np.ndarray, n: int) -> np.ndarray:
-    return (mix(x.view(np.uint64)) % U(n)).astype(np.int64)
+REPEAT, RECORD = 0, 1
+_COLUMNS = ("kind", "h", "c", "d", "ord", "sub", "at")
+_RECORDS = "kind int, h long, c long, d long, ord long, sub long, at long"
+
+
+def _rows(kind: int, *cols: np.ndarray, names=_COLUMNS) -> pa.RecordBatch:
+    cols = [x.view(np.int64) if x.dtype == np.uint64 else x for x in cols]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), kind, np.int32)), *map(pa.array, cols)], names=list(names))
+
+
+def _records(batch, common):
+    """Records of a batch ``ord, sub, bytes``: of the equal runs of a slice the first is a record, the others are repeats."""
+    order, sub = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    data, offsets = bytes_of(batch.column(2))
+    digest = xxhash.xxh3_128_digest
+    for first, end, s, e in _pieces(offsets):
+        body = data[s:e]
+        row, lo, n, back, h = runs(body, np.clip(offsets[first:end + 1], s, e) - s, common)
+        if not len(row):
+            continue
+        begin = np.clip(offsets[first:end + 1], s, e)[row] - s + lo
+        view = memoryview(body.tobytes())
+        pair = np.frombuffer(b"".join([digest(view[a:b]) for a, b in zip(begin.tolist(), (begin + n + (LENGTH - 1)).tolist())]), np.int64).reshape(-1, 2)
+        shift = s - offsets[first] if end == first + 1 else 0
+        o, u, at = order[first + row], sub[first + row], _packed(lo + shift, n, back)
+        by = np.lexsort((at, u, o, pair[:, 1], pair[:, 0], h))
+        h, c, d, o, u, at = h[by], pair[by, 0], pair[by, 1], o[by], u[by], at[by]
+        new = _changes(h, c, d)
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]
+        other = (o != o[head]) | (u != u[head]) | (at != at[head])
+        yield _rows(RECORD, h[new], c[new], d[new], o[new], u[new], at[new])
+        if other.any():
+            zero = np.zeros(int(other.sum()), np.int64)
+            yield _rows(REPEAT, mix((o[other] ^ u[other]).view(np.uint64)), zero, zero, o[other], u[other], at[other])
+
+
+_OPEN = "kind int, h long, ord long, sub long, at long"
+_OPEN_COLUMNS = ("kind", "h", "ord", "sub", "at")
+
+
+def _firsts(batches):
+    """Task code over records sorted by (kind, h, c, d, place): repeats, and the first places of buckets with several digests."""
+    head = None  # of the last bucket so far: the first record of its last digest, and whether it has several digests
+    for batch in batches:
+        kind, h, c, d, o, u, at = (batch.column(k).to_numpy() for k in range(7))
+        old = kind == REPEAT
+        if old.any():
+            yield _rows(REPEAT, h[old], o[old], u[old], at[old], names=_OPEN_COLUMNS)
+        if old.all():
+            continue
+        h, c, d, o, u, at = (x[~old] for x in (h, c, d, o, u, at))
+        if head is not None:  # the place that the first rows may repeat, put in front
+            h, c, d, o, u, at = (np.r_[np.int64(x), y] for x, y in zip(head["row"], (h, c, d, o, u, at)))
+        new_h, new = _changes(h), _changes(h, c, d)
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        bucket = np.cumsum(new_h) - 1
+        digests = np.bincount(bucket, new).astype(np.int64)
+        several = digests > 1
+        if head is not None:
+            several[0] |= head["several"]
+        repeat = (o != o[first]) | (u != u[first]) | (at != at[first])
+        is_open = new & several[bucket]
+        if head is not None and head["several"]:
+            is_open[0] = False  # given before
+        if repeat.any():
+            yield _rows(REPEAT, mix((o[repeat] ^ u[repeat]).view(np.uint64)), o[repeat], u[repeat], at[repeat], names=_OPEN_COLUMNS)
+        if is_open.any():
+            yield _rows(RECORD, h[is_open], o[is_open], u[is_open], at[is_open], names=_OPEN_COLUMNS)
+        k = int(first[-1])
+        head = {"row": [x[k] for x in (h, c, d, o, u, at)], "several": bool(several[-1])}
 
 
 def _word8(text: np.ndarray) -> np.ndarray:
@@ -222,200 +263,177 @@ def sort_block(texts: list[bytes], back: np.ndarray, count: np.ndarray, group: n
     return owner, start, np.cumsum(new) - 1
 
 
-def _sorted_repeats(batches):
-    """Task code: repeats among the suffixes of the buckets of a task, as ``ord, sub, lo, n`` runs."""
-    given = list(batches)
-    if not given:
-        return
-    o, s, lo, n, back, h = (np.concatenate([b.column(c).flatten().to_numpy() for b in given]) for c in ("ord", "sub", "lo", "n", "back", "h"))
-    texts = [t for b in given for t in b.column("text").flatten().to_pylist()]
-    order = np.argsort(h, kind="stable")
-    edge = np.flatnonzero(np.r_[_changes(h[order]), True])
-    size = np.concatenate([[0], np.cumsum([len(texts[i]) for i in order])])
-    k = 0
-    while k < len(edge) - 1:  # whole buckets, up to BLOCK bytes at once
-        e = max(k + 1, int(np.searchsorted(size[edge], size[edge[k]] + BLOCK, "right")) - 1)
-        block = order[edge[k]:edge[e]]
-        k = e
-        owner, start, klass = sort_block([texts[i] for i in block], back[block], n[block], h[block])
-        oo, ss, at = o[block][owner], s[block][owner], lo[block][owner] + start
-        by = np.lexsort((at, ss, oo, klass))
-        oo, ss, at, klass = oo[by], ss[by], at[by], klass[by]
-        first = np.flatnonzero(_changes(klass))[klass]
-        gone = (oo != oo[first]) | (ss != ss[first]) | (at != at[first])
-        oo, ss, at = oo[gone], ss[gone], at[gone]
-        by = np.lexsort((at, ss, oo))
-        oo, ss, at = oo[by], ss[by], at[by]
+def _blocks(batches, most: int):
+    """Whole buckets of about ``most`` bytes from rows ``key, ord, sub, at, text`` sorted by key; a longer bucket comes
+    in parts, each after the first led by the texts that the parts before had first."""
+    held, size, begin, own = [], 0, 0, 0  # rows and their bytes; where the last bucket begins and its bytes
+    for batch in batches:
+        cols = [batch.column(k).to_numpy().tolist() for k in range(4)]
+        for row in zip(*cols, batch.column(4).to_pylist()):
+            if held and held[-1][0] != row[0]:
+                if size >= most:
+                    yield held, False
+                    held, size = [], 0
+                begin, own = len(held), 0
+            if own >= 2 * most:
+                if begin:
+                    yield held[:begin], False
+                kept = yield held[begin:], True
+                held, begin = list(kept), 0
+                size = own = sum(len(r[4]) for r in held)
+            held.append(row)
+            size, own = size + len(row[4]), own + len(row[4])
+    if held:
+        yield held, False
+
+
+def _sorted_repeats(batches, most: int = BLOCK):
+    """Task code: repeats among the suffixes of the buckets of a task."""
+    blocks = _blocks(batches, most)
+    block = next(blocks, None)
+    while block is not None:
+        rows, more = block
+        key, o, u, packed = (np.array(x, np.int64) for x in list(zip(*rows))[:4])
+        texts = [r[4] for r in rows]
+        lo, n, back = packed >> 16, packed >> 8 & 255, packed & 255
+        owner, start, klass = sort_block(texts, back, n, np.unique(key, return_inverse=True)[1])
+        oo, uu, at = o[owner], u[owner], lo[owner] + start
+        by = np.lexsort((at, uu, oo, klass))
+        oo, uu, at, klass, owner = oo[by], uu[by], at[by], klass[by], owner[by]
+        new = _changes(klass)
+        first = np.flatnonzero(new)[klass]
+        gone = (oo != oo[first]) | (uu != uu[first]) | (at != at[first])
+        kept = [rows[i] for i in np.unique(owner[new])]
+        oo, uu, at = oo[gone], uu[gone], at[gone]
+        by = np.lexsort((at, uu, oo))
+        oo, uu, at = oo[by], uu[by], at[by]
         if len(at):
-            new = _changes(oo, ss)
-            new[1:] |= at[1:] != at[:-1] + 1
+            new = _changes(oo, uu)
+            new[1:] |= (at[1:] != at[:-1] + 1) & (at[1:] != at[:-1])
             begin = np.flatnonzero(new)
-            yield oo[begin], ss[begin], at[begin], np.diff(np.r_[begin, len(at)])
-
-
-LISTS = "ord long, sub long, lo array<bigint>, n array<bigint>, back array<bigint>, h array<bigint>, c array<bigint>"
-
-
-def _per_document(blobs: DataFrame, partitions: int) -> DataFrame:
-    """Blobs dealt by document -> one row ``ord, sub`` with arrays for each document."""
-    names = ("lo", "n", "back", "h", "c")
-
-    def run(batches):
-        cols = _flat(batches, RECORD)
-        order = np.lexsort((cols[2], cols[1], cols[0]))
-        o, s, *rest = (x[order] for x in cols)
-        if not len(o):
-            return
-        cut = np.flatnonzero(np.r_[_changes(o, s), True])
-        lists = [pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(x)) for x in rest]
-        yield pa.RecordBatch.from_arrays([pa.array(o[cut[:-1]]), pa.array(s[cut[:-1]]), *lists], names=["ord", "sub", *names])
-
-    return blobs.repartition(partitions, "bucket").mapInArrow(run, LISTS)
-
-
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Documents ``doc_id, ord, sub, bytes`` and the starts of their repeats, ``ord, sub, lo, n`` arrays."""
+            end = np.r_[begin[1:], len(at)] - 1
+            yield oo[begin], uu[begin], at[begin], at[end] - at[begin] + 1
+        block = blocks.send(kept) if more else next(blocks, None)  # after a part there always is more
+
+
+def _contexts(batch):
+    """Rows ``key, ord, sub, at, text`` of a batch ``ord, sub, bytes, open``: texts of runs, or of single suffixes of a wide bucket."""
+    data, offsets = bytes_of(batch.column("bytes"))
+    lists = batch.column("open")
+    many = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten()
+    at, h, wide = flat.field("at").to_numpy(), flat.field("h").to_numpy(), flat.field("wide").to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(many)), many)
+    o, u = (batch.column(c).to_numpy()[row] for c in ("ord", "sub"))
+    for narrow in np.array_split(np.flatnonzero(~wide), 1 + int((~wide).sum()) // 50_000):
+        if len(narrow):
+            begin = offsets[row[narrow]] + (at[narrow] >> 16)
+            end = begin + (at[narrow] >> 8 & 255) + (LENGTH - 1)
+            body = pa.array([data[a:b].tobytes() for a, b in zip(begin, end)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (h[narrow], o[narrow], u[narrow], at[narrow])), body], names=["key", "ord", "sub", "at", "text"])
+    for some in np.array_split(np.flatnonzero(wide), 1 + int(wide.sum()) // 1_000):
+        if len(some):
+            n = at[some] >> 8 & 255
+            each, step = np.repeat(some, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            lo = (at[each] >> 16) + step
+            strings = [data[a:a + LENGTH].tobytes() for a in offsets[row[each]] + lo]
+            hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in strings], np.uint64)
+            cols = hashes.view(np.int64), o[each], u[each], _packed(lo, np.int64(1), np.int64(0))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(strings, pa.binary())], names=["key", "ord", "sub", "at", "text"])
+
+
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Documents ``doc_id, ord, sub, bytes`` and the starts of their repeats, ``ord, sub, starts`` (arrays of place and number)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST_ID)).alias("ord"),
                         F.xxhash64(text_of(text)).alias("sub"), text_of(text).cast("binary").alias("bytes"))
-    texts = given.select("ord", "sub", "bytes")
+    texts = given.where(F.length("bytes") >= LENGTH).select("ord", "sub", "bytes")
 
-    def frequent(batches):
+    def sketch(batches):
+        count, total = np.zeros(1 << SLOT_BITS, np.int64), 0
         for batch in batches:
-            h = [r[5] for r in _all_runs(batch)]
-            h, n = np.unique(np.concatenate(h) if h else np.zeros(0, np.uint64), return_counts=True)
-            often = n * HEAVY >= n.sum()
-            often &= n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[h[often].view(np.int64), 0]), pa.array(np.r_[n[often], 0]),
-                                              pa.array(np.r_[np.zeros(often.sum(), np.int64), n.sum()])], names=["h", "n", "every"])
-
-    often = settle(texts.mapInArrow(frequent, "h long, n long, every long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("every").alias("every")), "often")
-    every = often.agg(F.sum("every")).first()[0] or 0
-    heavy = np.sort(np.array([r["h"] for r in often.where((F.col("n") > 64) & (F.col("n") * HEAVY >= every)).select("h").collect()], np.int64))  # HEAVY at most
+            data, offsets = bytes_of(batch.column(0))
+            for first, end, s, e in _pieces(offsets):
+                slots = _slot(gram_hashes(data[s:e]))
+                total += len(slots)
+                if len(slots):
+                    count += np.bincount(slots, minlength=len(count))
+        often = np.flatnonzero((count * COMMON >= total) & (count > 1))
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[often, -1]), pa.array(np.r_[count[often], total])], names=["slot", "n"])
+
+    slots = settle(texts.select("bytes").mapInArrow(sketch, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")), "slots")
+    places = (slots.where("slot < 0").agg(F.sum("n")).first() or [0])[0] or 0
+    common = np.zeros(1 << SLOT_BITS, bool)
+    often = slots.where((F.col("slot") >= 0) & (F.col("n") >= LEAST_COMMON) & (F.col("n") * COMMON >= places)).select("slot")
+    common[[r[0] for r in often.collect()]] = True  # COMMON at most
+    sent = spark.sparkContext.broadcast(np.packbits(common))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + places // (GRAMS // 2) // PARTITION_RUNS)
 
     def records(batches):
+        slots = np.unpackbits(sent.value).astype(bool)
         for batch in batches:
-            cols = [np.concatenate(x) for x in zip(*_all_runs(batch))]
-            if not cols or not len(cols[0]):
-                continue
-            o, s, lo, n, back, h, c = (x.view(np.int64) for x in cols)
-            hot = np.isin(h, heavy)
-            salt = _bucket(o ^ s, SALTS)
-            bucket = np.where(hot, parts + _bucket(h ^ c ^ salt, 1 << 20), _bucket(h, parts))
-            yield _blobs(bucket, dict(zip(RECORD, (o, s, lo, n, back, h, c))))
-
-    def states(run, hot_last):
-        """Rows of both states: repeats dealt by document, first places by document or, of a salted run, by digest."""
-        def task(batches):
-            for state, cols in run(batches):
-                by_doc = _bucket(cols[0] ^ cols[1], parts)
-                bucket = _bucket(mix(cols[5].view(np.uint64)).view(np.int64) ^ cols[6], 1 << 20) if state and not hot_last else by_doc
-                out = _blobs(bucket, dict(zip(RECORD, cols)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(out.num_rows, state, np.int32)), *out.columns], names=["state", *out.schema.names])
-        return task
-
-    def dealt(frame, salts, last):
-        return settle(frame.repartition(parts, "bucket").mapInArrow(states(_firsts(salts), last), "state int, " + BLOBS), "places")
-
-    every_record = texts.mapInArrow(records, BLOBS)
-    if len(heavy):
-        every_record = settle(every_record, "records")
-    plain = dealt(every_record.where(F.col("bucket") < parts) if len(heavy) else every_record, 0, True)
-    same, left = [plain.where("state = 0")], [plain.where("state = 1")]
-    if len(heavy):
-        salted = dealt(every_record.where(F.col("bucket") >= parts), 1, False)
-        joined = dealt(salted.where("state = 1").drop("state"), 1, True)
-        same += [salted.where("state = 0"), joined.where("state = 0")]
-        left.append(joined.where("state = 1"))
-
-    def union(frames):
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.drop("state")
-
-    open_runs = settle(_per_document(union(left), parts), "open-runs")
-    schema = "kind int, bucket long, " + ", ".join(f"{c} array<bigint>" for c in RECORD) + ", text array<binary>"
+            yield from _records(batch, slots)
+
+    dealt = texts.mapInArrow(records, _RECORDS).repartition(parts, "h").sortWithinPartitions("kind", "h", "c", "d", "ord", "sub", "at")
+    found = settle(dealt.mapInArrow(_firsts, _OPEN), "places")
+
+    left = found.where(F.col("kind") == RECORD).drop("kind")
+    room = F.shiftright("at", 8).bitwiseAND(255) + (LENGTH - 1)
+    wide = settle(left.groupBy("h").agg(F.sum(room).alias("size")).where(F.col("size") > block).select("h", F.lit(True).alias("wide")), "wide")
+    left = left.join(wide, "h", "left").groupBy("ord", "sub").agg(
+        F.collect_list(F.struct("at", "h", F.coalesce("wide", F.lit(False)).alias("wide"))).alias("open"))
+    left = settle(left, "open-runs")
+    there, _ = may_hold(texts, F.xxhash64("ord", "sub"), left.select(F.xxhash64("ord", "sub").alias("k")), left.count())
 
     def contexts(batches):
         for batch in batches:
-            data, offsets = bytes_of(batch.column("bytes"))
-            per = [batch.column(c) for c in ("lo", "n", "back", "h")]
-            many = np.diff(per[0].offsets.to_numpy())
-            lo, n, back, h = (x.flatten().to_numpy() for x in per)
-            row = np.repeat(np.arange(len(many)), many)
-            o, s = (batch.column(c).to_numpy()[row] for c in ("ord", "sub"))
-            begin = offsets[row] + lo
-            hot = np.isin(h, heavy)
-            k = np.flatnonzero(~hot)
-            if len(k):
-                body = pa.array([data[a:a + m + LENGTH - 1].tobytes() for a, m in zip(begin[k], n[k])], pa.binary())
-                bucket = _bucket(h[k], parts)
-                out = _blobs(bucket, dict(zip(RECORD, (o[k], s[k], lo[k], n[k], back[k], h[k], h[k]))))
-                order = np.argsort(bucket, kind="stable")
-                lists = pa.ListArray.from_arrays(out.column(1).offsets, body.take(pa.array(order)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(out.num_rows, np.int32)), *out.columns, lists], names=["kind", *out.schema.names, "text"])
-            for k in np.array_split(np.flatnonzero(hot), max(1, hot.sum() // 20_000)):  # single suffixes of heavy anchors
-                if not len(k):
-                    continue
-                each = np.repeat(k, n[k])
-                at = np.arange(len(each)) - np.repeat(np.cumsum(n[k]) - n[k], n[k])
-                digest = np.empty(len(each), np.uint64)
-                cut = np.r_[np.flatnonzero(_changes(row[each])), len(each)]
-                for a, b in zip(cut[:-1], cut[1:]):
-                    r = row[each[a]]
-                    pos = lo[each[a:b]] + at[a:b]
-                    base = pos.min()
-                    sums, down = _sums(data[offsets[r] + base:offsets[r] + pos.max() + LENGTH])
-                    digest[a:b] = _digest(sums, down, pos - base, pos - base + LENGTH)
-                d, one = digest.view(np.int64), np.ones(len(each), np.int64)
-                salt = _bucket(o[each] ^ s[each], SALTS)
-                out = _blobs(_bucket(d ^ salt, 1 << 20), dict(zip(RECORD, (o[each], s[each], lo[each] + at, one, one, d, d))))
-                none = pa.array([[]] * out.num_rows, pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(out.num_rows, np.int32)), *out.columns, none], names=["kind", *out.schema.names, "text"])
-
-    open_texts = settle(texts.join(open_runs, ["ord", "sub"]).mapInArrow(contexts, schema), "open-texts")
+            yield from _contexts(batch)
+
+    schema = "key long, ord long, sub long, at long, text binary"
+    bodies = there.join(left, ["ord", "sub"]).mapInArrow(contexts, schema).repartition(parts, "key").sortWithinPartitions("key", "ord", "sub", "at")
 
     def sort(batches):
-        for o, s, lo, n in _sorted_repeats(batches):
-            yield _blobs(_bucket(o ^ s, parts), dict(zip(RECORD, (o, s, lo, n, n, n, n))))
+        for o, u, at, n in _sorted_repeats(batches, block):
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (o, u, at, n))], names=["ord", "sub", "lo", "n"])
 
-    same.append(open_texts.where("kind = 0").repartition(parts, "bucket").mapInArrow(sort, BLOBS).withColumn("state", F.lit(0)))
-    if len(heavy):
-        salted = dealt(open_texts.where("kind = 1").drop("kind", "text"), 1, False)
-        joined = dealt(salted.where("state = 1").drop("state"), 1, True)
-        same += [salted.where("state = 0"), joined.where("state = 0")]
-    return given, settle(_per_document(union(same), parts).select("ord", "sub", "lo", "n"), "repeats")
+    same = found.where(F.col("kind") == REPEAT).select("ord", "sub", F.shiftright("at", 16).alias("lo"), F.shiftright("at", 8).bitwiseAND(255).alias("n"))
+    every = same.unionByName(bodies.mapInArrow(sort, "ord long, sub long, lo long, n long"))
+    return given, settle(every.groupBy("ord", "sub").agg(F.collect_list(F.struct("lo", "n")).alias("starts")), "repeats")
 
 
-def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (the remaining bytes)."""
-    given, starts = repeats(docs, key, text)
+    given, starts = repeats(docs, key, text, block)
     schema = given.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long") \
         .add("kept_sha256", "string").add("kept", "binary")
 
     def run(batches):
         for batch in batches:
             data, offsets = bytes_of(batch.column("bytes"))
+            lists = batch.column("starts")
+            edge = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.flatten()
+            lo, n = flat.field("lo").to_numpy(), flat.field("n").to_numpy()
             out = []
-            for i, (lo, n) in enumerate(zip(batch.column("lo").to_pylist(), batch.column("n").to_pylist())):
+            for i in range(batch.num_rows):
                 body = data[offsets[i]:offsets[i + 1]]
-                removed = spans = 0
-                if lo:
-                    step = np.zeros(len(body) + 1, np.int64)
-                    lo, n = np.array(lo), np.array(n)
-                    np.add.at(step, lo, 1)
-                    np.add.at(step, lo + n - 1 + LENGTH, -1)
-                    gone = np.cumsum(step[:-1]) > 0
-                    removed, spans = int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum() + gone[0])
-                    body = body[~gone]
-                kept = body.tobytes()
-                out.append((offsets[i + 1] - offsets[i], removed, spans, hashlib.sha256(kept).hexdigest(), kept))
+                step = np.zeros(len(body) + 1, np.int64)
+                some = slice(edge[i], edge[i + 1])
+                np.add.at(step, lo[some], 1)
+                np.add.at(step, lo[some] + n[some] - 1 + LENGTH, -1)
+                gone = np.cumsum(step[:-1]) > 0
+                spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0]) if len(gone) else 0
+                kept = body[~gone].tobytes()
+                out.append((len(body), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
             cols = list(zip(*out)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array([int(x) for x in c], pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string()),
-                 pa.array(cols[4], pa.binary())], names=schema.names)
-
-    return given.join(starts, ["ord", "sub"], "left").select("doc_id", "bytes", "lo", "n").mapInArrow(run, schema)
+                [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string()), pa.array(cols[4], pa.binary())],
+                names=schema.names)
+
+    some, others = may_hold(given, F.xxhash64("ord", "sub"), starts.select(F.xxhash64("ord", "sub").alias("k")), starts.count())
+    none = F.expr("CAST(array() AS array<struct<lo: bigint, n: bigint>>)")
+    cut = some.join(starts, ["ord", "sub"], "left").select("doc_id", "bytes", F.coalesce("starts", none).alias("starts")).mapInArrow(run, schema)
+    whole = others.select("doc_id", F.length("bytes").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+                          F.lit(0).cast("long").alias("n_spans"), F.sha2("bytes", 256).alias("kept_sha256"), F.col("bytes").alias("kept"))
+    return cut.unionByName(whole)
