@@ -75,7 +75,7 @@ def unused(df: DataFrame, name: str) -> str:
 
 def text_of(name: str = "text"):
     """A text column, null as empty."""
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
 def bytes_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphmill.llm.common import bounded_batches, bytes_of, settle, spans_of_rows, text_of, unused
+from graphmill.llm.common import bounded_batches, bytes_of, may_hold, settle, spans_of_rows, text_of, unused
 from graphmill.llm.words import ALNUM_ONLY, ngrams, words
 
 SIMILARITY = 0.8
@@ -207,7 +207,8 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a passage of an item."""
+    """``docs`` without the documents that hold a passage of an item; only rows that may be dropped are moved."""
     own = unused(docs, "own_id")
     gone = settle(contamination(docs, items, key, text).select(F.col("doc_id").alias(own)).distinct(), "contaminated")
-    return docs.join(gone, gone[own].eqNullSafe(docs[f"`{key}`"]), "left_anti")
+    some, others = may_hold(docs, F.xxhash64(F.col(f"`{key}`")), gone.select(F.xxhash64(own).alias("k")), gone.count())
+    return others.unionByName(some.join(gone, F.col(own).eqNullSafe(F.col(f"`{key}`")), "left_anti"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import settle, text_of, unused
+from graphmill.llm.common import may_hold, settle, text_of, unused
 
 MIN_CHUNK, MAX_CHUNK = 256, 2048
 CUTS = rf"(?s).{{{MIN_CHUNK},{MAX_CHUNK - 2}}}?(?:[.!?]\s|\n)|.{{1,{MAX_CHUNK}}}"
@@ -31,7 +31,7 @@ def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     t = text_of(text)
     chunks = F.transform(F.regexp_extract_all(t, F.lit(CUTS), F.lit(0)),
                          lambda c: F.struct(F.xxhash64(c).alias("id"), F.unhex(F.sha2(c, 256)).alias("sha")))
-    return docs.select(F.col(key).alias("doc_id"), F.sha2(t, 256).alias("text_sha256"), chunks.alias("chunks"))
+    return docs.select(F.col(f"`{key}`").alias("doc_id"), F.sha2(t, 256).alias("text_sha256"), chunks.alias("chunks"))
 
 
 def collisions(recipe: DataFrame) -> DataFrame:
@@ -65,17 +65,18 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` drops."""
+    """``docs`` without the rows that ``exact_groups`` drops; only rows that may be dropped are moved."""
     groups = settle(exact_groups(docs, key, text), "exact")
     gone = groups.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     gone = settle(gone.where("not kept or n > 1"), "gone")
-    own, sha = unused(docs, "own_id"), unused(docs, "own_sha")
-    gone = gone.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(sha), F.col("kept").alias(unused(docs, "stays")))
-    on = [gone[own].eqNullSafe(docs[f"`{key}`"]), gone[sha] == F.sha2(F.coalesce(docs[f"`{text}`"], F.lit("")), 256)]
-    out = docs.join(gone, on, "left_anti")
-    again = gone.where(F.col(unused(docs, "stays")))
+    own, sha, stays = unused(docs, "own_id"), unused(docs, "own_sha"), unused(docs, "stays")
+    some, others = may_hold(docs, F.xxhash64(F.col(f"`{key}`")), gone.select(F.xxhash64("doc_id").alias("k")), gone.count())
+    gone = gone.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(sha), F.col("kept").alias(stays))
+    same = F.col(own).eqNullSafe(F.col(f"`{key}`")) & (F.col(sha) == F.sha2(text_of(text), 256))
+    out = others.unionByName(some.join(gone, same, "left_anti"))
+    again = gone.where(F.col(stays))
     if again.isEmpty():
         return out
     # repeated rows with one id and text: one of each stays
-    one = docs.join(again, on, "left_semi").withColumn(sha, F.sha2(text_of(text), 256)).dropDuplicates([key, sha])
+    one = some.join(again, same, "left_semi").withColumn(sha, F.sha2(text_of(text), 256)).dropDuplicates([key, sha])
     return out.unionByName(one.drop(sha))

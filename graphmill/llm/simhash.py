@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import bounded_batches, settle, text_of, unused
+from graphmill.llm.common import bounded_batches, may_hold, settle, text_of, unused
 from graphmill.llm.components import components
 
 WORDS, DISTANCE, SEED = 3, 3, 42
@@ -231,18 +231,20 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
 
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id."""
+    """``docs`` with one row of each component: that with the smallest id; only rows that may be dropped are moved."""
     groups = settle(near_groups(docs, key, text, words, distance), "near")
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     own, sha = unused(docs, "own_id"), unused(docs, "own_sha")
     per_id = groups.groupBy(F.col("doc_id").alias(own)).agg(F.max(kept).alias("kept"), F.count(F.lit(1)).alias("n"))
     per_id = settle(per_id.where("not kept or n > 1"), "near-gone")
+    some, others = may_hold(docs, F.xxhash64(F.col(f"`{key}`")), per_id.select(F.xxhash64(own).alias("k")), per_id.count())
     gone, again = per_id.select(own), per_id.where("kept").select(own)
-    out = docs.join(gone, gone[own].eqNullSafe(docs[f"`{key}`"]), "left_anti")
+    same = F.col(own).eqNullSafe(F.col(f"`{key}`"))
+    out = others.unionByName(some.join(gone, same, "left_anti"))
     if again.isEmpty():
         return out
     # several rows with the id that stays: the first by digest of the text
-    rows = docs.join(again, again[own].eqNullSafe(docs[f"`{key}`"]), "left_semi").withColumn(sha, F.sha2(text_of(text), 256))
+    rows = some.join(again, same, "left_semi").withColumn(sha, F.sha2(text_of(text), 256))
     low = settle(rows.groupBy(F.col(f"`{key}`").alias(own)).agg(F.min(sha).alias("low")), "near-first")
-    one = rows.join(low, low[own].eqNullSafe(rows[f"`{key}`"]) & (low["low"] == rows[sha]), "left_semi").dropDuplicates([key, sha])
+    one = rows.join(low, same & (F.col("low") == F.col(sha)), "left_semi").dropDuplicates([key, sha])
     return out.unionByName(one.drop(sha))
