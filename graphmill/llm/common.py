@@ -61,7 +61,8 @@ def may_hold(rows: DataFrame, key: Column, keys: DataFrame, n: int) -> tuple[Dat
 
 def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     """Bound the bytes of an Arrow batch, so that very long texts don't pile up in one."""
-    if spark.conf.get(BATCH_BYTES, None) in (None, "-1", "2147483647"):
+    have = int(spark.conf.get(BATCH_BYTES, None) or -1)
+    if have < 0 or have > size:
         spark.conf.set(BATCH_BYTES, str(size))
 
 

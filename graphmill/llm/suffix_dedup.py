@@ -53,7 +53,7 @@ from graphmill.llm.words import BASE, U, _power_table, mix
 
 LENGTH, GRAM, PERIOD = 100, 36, 32
 GRAMS = LENGTH - GRAM + 1
-SLICE, BLOCK = 1 << 20, 1 << 20
+SLICE, BLOCK, BATCH = 1 << 18, 1 << 20, 4 << 20
 #: Slots of the sketch of substrings, and the share of places that makes one common.
 SLOT_BITS, COMMON, LEAST_COMMON = 22, 1 << 16, 256
 #: Runs that a partition holds, about.
@@ -345,21 +345,24 @@ def _contexts(batch):
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Documents ``doc_id, ord, sub, bytes`` and the starts of their repeats, ``ord, sub, starts`` (arrays of place and number)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH)
     given = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LAST_ID)).alias("ord"),
                         F.xxhash64(text_of(text)).alias("sub"), text_of(text).cast("binary").alias("bytes"))
     texts = given.where(F.length("bytes") >= LENGTH).select("ord", "sub", "bytes")
 
     def sketch(batches):
-        count, total = np.zeros(1 << SLOT_BITS, np.int64), 0
+        count, held = np.zeros(1 << SLOT_BITS, np.int64), []
         for batch in batches:
             data, offsets = bytes_of(batch.column(0))
             for first, end, s, e in _pieces(offsets):
-                slots = _slot(gram_hashes(data[s:e]))
-                total += len(slots)
-                if len(slots):
-                    count += np.bincount(slots, minlength=len(count))
-        often = np.flatnonzero((count * COMMON >= total) & (count > 1))
+                held.append(_slot(gram_hashes(data[s:e])))
+                if len(held) >= 8:
+                    count += np.bincount(np.concatenate(held), minlength=len(count))
+                    held = []
+        if held:
+            count += np.bincount(np.concatenate(held), minlength=len(count))
+        total = int(count.sum())
+        often = np.flatnonzero((count >= total / COMMON) & (count > 1))
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[often, -1]), pa.array(np.r_[count[often], total])], names=["slot", "n"])
 
     slots = settle(texts.select("bytes").mapInArrow(sketch, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")), "slots")
