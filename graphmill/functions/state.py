@@ -6,17 +6,18 @@ plan (scan of the written files) and survives executor loss: nothing lives
 only in an executor's memory or local disk.  Row counts of written tables
 come from an ``Observation`` on the writing job, so asking "did anything
 change?" costs no scan.  Frames that operators return read these tables, so
-the tables stay until the shared folder is cleared.
+they stay until their reader is done and calls ``graphmill.session.free_state``; what
+only a loop needed goes when the loop ends (``StateStore.free``).
 """
 
 from __future__ import annotations
 
-import logging
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from graphmill.session import state_root
+from graphmill.session import delete_path, note_state, state_root
 
 
 class StateStore:
@@ -25,9 +26,11 @@ class StateStore:
     def __init__(self, spark: SparkSession, tag: str, keep: int = 2):
         self.spark = spark
         self.base = f"{state_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+        note_state(self.base)
         self.keep = keep
         self._seq = 0
         self._versions: dict[str, list[str]] = {}
+        self._tables: list[str] = []
 
     def save(self, df: DataFrame, name: str, **metrics: Column) -> DataFrame | tuple[DataFrame, dict]:
         """Materialise ``df`` as a table and return a DataFrame reading it back.
@@ -47,7 +50,7 @@ class StateStore:
         versions = self._versions.setdefault(name, [])
         versions.append(path)
         while len(versions) > self.keep:
-            self._delete(versions.pop(0))
+            delete_path(self.spark, versions.pop(0))
         out = self.spark.read.schema(df.schema).parquet(path)
         return (out, dict(obs.get)) if obs is not None else out
 
@@ -64,14 +67,98 @@ class StateStore:
         self._seq += 1
         # hash-partition by the bucket keys first so each bucket is one file, not one per task
         df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(table)
+        self._tables.append(table)
+        note_state(path, table)
         return self.spark.table(table)
 
-    def _delete(self, path: str) -> None:
-        # Best effort: free superseded rounds on the shared file system.
-        try:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
-        except Exception as ex:  # pragma: no cover - e.g. Spark Connect sessions
-            logging.getLogger(__name__).warning("superseded state %s was not deleted: %s", path, ex)
+    def free(self) -> None:
+        """Delete everything that this store has written."""
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables, self._versions = [], {}
+        delete_path(self.spark, self.base)
+
+
+class DeltaLog:
+    """A keyed table that grows by appended changes.
+
+    A round writes only its changed rows.  ``current`` is the least value of each key (``least``: the column) or its
+    latest row; when the appended rows outnumber the compacted ones (or ``parts`` tables have gathered), they
+    are compacted into one table, so all compactions together write a few times the final state.
+    """
+
+    def __init__(self, store: StateStore, name: str, keys: list[str], least: str | None = None, parts: int = 12):
+        self.store, self.name, self.keys, self.least, self.most = store, name, keys, least, parts
+        self._base: DataFrame | None = None
+        self._base_rows = self._new_rows = self.rows_written = 0
+        self._parts: list[DataFrame] = []
+        self._seq = 0
+
+    def append(self, rows: DataFrame) -> tuple[DataFrame, int]:
+        """Write changed rows; gives them back with their number."""
+        part, m = self.store.save(rows, f"{self.name}-{self._seq}", rows=F.count(F.lit(1)))
+        self._seq += 1
+        n = m["rows"] or 0
+        if n:
+            self._parts.append(part.withColumn("_at", F.lit(self._seq)))
+            self._new_rows += n
+            self.rows_written += n
+        elif self._base is None and not self._parts:
+            self._base = part  # no rows yet
+        if len(self._parts) > 1 and (len(self._parts) >= self.most or self._new_rows > 2 * max(self._base_rows, 1_000_000)):
+            self._compact()
+        return part, n
+
+    def _every(self) -> DataFrame:
+        parts = ([self._base.withColumn("_at", F.lit(0))] if self._base is not None else []) + self._parts
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def current(self) -> DataFrame:
+        """The rows that stand, one a key."""
+        if self._base is not None and not self._parts:
+            return self._base
+        every = self._every()
+        rest = [c for c in every.columns if c not in self.keys and c != "_at"]
+        if len(self._parts) == 1 and self._base is None:
+            return every.drop("_at")
+        if self.least:
+            return every.groupBy(*self.keys).agg(F.min(self.least).alias(self.least))
+        if not rest:
+            return every.select(*self.keys).distinct()
+        return every.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "_at").alias("_row")).select(*self.keys, "_row.*")
+
+    def _compact(self) -> None:
+        self._base, m = self.store.save(self.current(), f"{self.name}-base", rows=F.count(F.lit(1)))
+        self._base_rows, self._new_rows, self._parts = m["rows"] or 0, 0, []
+        self.rows_written += self._base_rows
+
+
+#: Rows of one key that a mirror holds, about.
+MIRROR_ROWS = 256
+
+
+class Mirrors:
+    """A loop-invariant table bucketed by (key, salt): a hub's rows are dealt over as many mirrors as its measured degree asks for.
+
+    ``meet`` joins it with rows on the key; a row on a hub goes to all of its mirrors, so each joins a share of the hub, and
+    sums over the other end start as partial sums a mirror.
+    """
+
+    def __init__(self, store: StateStore, table: DataFrame, name: str, key: str, by: str, rows: int = MIRROR_ROWS):
+        self.key = key
+        table = store.save(table, f"{name}-rows")
+        self.hubs = store.save(table.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("salts")).where(F.col("salts") > 1), f"{name}-hubs")
+        self.none = self.hubs.isEmpty()
+        dealt = table.withColumn("salt", F.lit(0)) if self.none else table.join(self.hubs, key, "left").withColumn(
+            "salt", F.pmod(F.xxhash64(by), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+        self.table = store.save_bucketed(dealt, name, [key, "salt"])
+
+    def meet(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (with the key column) joined with the table."""
+        if self.none:
+            return rows.withColumn("salt", F.lit(0)).join(self.table, [self.key, "salt"]).drop("salt")
+        over = rows.join(self.hubs, self.key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+        return over.drop("salts").join(self.table, [self.key, "salt"]).drop("salt")

@@ -1,15 +1,12 @@
 """Connected components and ego circles.
 
-Labels start as the vertex id and only decrease.  A round (1) sends the
-labels of vertices that changed in the previous round over their undirected
-edges and keeps the minimum per receiver, (2) hooks: a vertex that received
-a smaller label forwards it to the vertex its current label names, so whole
-label trees merge at once, and (3) shortcuts every label to the label of its
-label vertex (pointer jumping); (2) and (3) collapse long chains in far
-fewer rounds than their length.  At the fixpoint
-every vertex carries the least id of its component.  ``keys`` run many
-independent graphs (e.g. one per ego net) in the same jobs: a vertex is
-``(keys..., id)``.
+Components come from contraction.  A round orders the vertices by a hash of its own and points every vertex at its
+first neighbour, or at itself if it comes first; the pointers run down that order, so they make trees, and one pointer
+jump shortens them.  Edges then take their ends' targets, loops and repeats go, and the next
+round works on the smaller graph that is left: a constant share of the vertices goes each time, whatever the
+ids and the shape (a path of n vertices takes O(log n) rounds).  Each round's pointers are written once; at the end they
+are followed back from the last round to the first, and a component is named by its least id.
+``keys`` run many independent graphs (e.g. one per ego net) in the same jobs: a vertex is ``(keys..., id)``.
 """
 
 from __future__ import annotations
@@ -24,38 +21,39 @@ def connected_components(edges: DataFrame, keys: list[str] | None = None,
                          max_iter: int | None = None) -> DataFrame:
     """``(keys..., id, component)`` with component = least vertex id of the component."""
     keys = list(keys or [])
-    spark = edges.sparkSession
-    store = StateStore(spark, "components")
+    store = StateStore(edges.sparkSession, "components")
     e = edges.select(*keys, "src", "dst")
-    und = (e.select(*keys, "src", "dst").unionByName(
-        e.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst")))
-        .where(F.col("src") != F.col("dst")).distinct())
-    und = store.save_bucketed(und, "edges", keys + ["src"])
-    verts = e.select(*keys, F.explode(F.array("src", "dst")).alias("id")).distinct()
-    labels, m = store.save(verts.select(*keys, "id", F.col("id").alias("label"), F.lit(True).alias("changed")),
-                           "labels", changed=F.count(F.lit(1)))
-    r = 0
-    while m["changed"]:
-        r += 1
-        if max_iter is not None and r > max_iter:
+    pairs, m = store.save(e.where("src <> dst").select(*keys, F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct(),
+                          "pairs", rows=F.count(F.lit(1)))
+    steps: list[DataFrame] = []
+    while m["rows"]:
+        if max_iter is not None and len(steps) >= max_iter:
             raise RuntimeError(f"components not settled after {max_iter} rounds")
-        sent = (labels.where("changed").select(*keys, F.col("id").alias("src"), "label")
-                .join(und, keys + ["src"])
-                .groupBy(*keys, F.col("dst").alias("id")).agg(F.min("label").alias("got")))
-        old = labels.select(*keys, "id", F.col("label").alias("old"))
-        # hooking: a smaller label reaching v is also handed to v's current label vertex,
-        # so the whole tree hanging from that vertex moves at once
-        hook = (sent.join(old, keys + ["id"]).where(F.col("got") < F.col("old"))
-                .select(*keys, F.col("old").alias("id"), "got"))
-        got = sent.unionByName(hook).groupBy(*keys, "id").agg(F.min("got").alias("got"))
-        hop = (old.join(got, keys + ["id"], "left")
-               .select(*keys, "id", "old", F.least("old", F.coalesce("got", "old")).alias("l1")))
-        jump = hop.select(*keys, F.col("id").alias("l1"), F.col("l1").alias("l2"))
-        nxt = (hop.join(jump, keys + ["l1"], "left")
-               .select(*keys, "id", F.least("l1", F.coalesce("l2", "l1")).alias("label"), "old")
-               .select(*keys, "id", "label", (F.col("label") != F.col("old")).alias("changed")))
-        labels, m = store.save(nxt, "labels", changed=F.sum(F.col("changed").cast("long")))
-    return labels.select(*keys, "id", F.col("label").alias("component"))
+
+        def order(c: str, r: int = len(steps)):
+            return F.struct(F.xxhash64(F.lit(r), *keys, c).alias("h"), F.col(c).alias("v"))
+
+        ends = pairs.select(*keys, F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("nbr")),
+                                                      F.struct(F.col("b").alias("id"), F.col("a").alias("nbr")))).alias("e")).select(*keys, "e.*")
+        first = ends.groupBy(*keys, "id").agg(F.min(order("nbr")).alias("first"))
+        step = store.save(first.select(*keys, "id", F.least("first", order("id"))["v"].alias("to")), "pointers")
+        target = step.select(*keys, F.col("id").alias("to"), F.col("to").alias("next"))
+        step = store.save(step.join(target, keys + ["to"]).select(*keys, "id", F.col("next").alias("to")), f"step{len(steps)}")
+        steps.append(step)
+        for end in ("a", "b"):
+            pairs = pairs.join(step.select(*keys, F.col("id").alias(end), F.col("to").alias(f"{end}_to")), keys + [end])
+        pairs, m = store.save(pairs.where("a_to <> b_to").select(*keys, F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(),
+                              "pairs", rows=F.count(F.lit(1)))
+    verts = e.select(*keys, F.explode(F.array("src", "dst")).alias("id")).distinct()
+    if not steps:
+        return verts.select(*keys, "id", F.col("id").alias("component"))
+    roots = steps[-1].select(*keys, "id", F.col("to").alias("root"))
+    for k in range(len(steps) - 2, -1, -1):
+        later = roots.select(*keys, F.col("id").alias("to"), "root")
+        roots = store.save(steps[k].join(later, keys + ["to"], "left").select(*keys, "id", F.coalesce("root", "to").alias("root")), "roots")
+    names = store.save(roots.groupBy(*keys, "root").agg(F.min("id").alias("component")), "names")
+    named = roots.join(names, keys + ["root"]).select(*keys, "id", "component")
+    return verts.join(named, keys + ["id"], "left").select(*keys, "id", F.coalesce("component", "id").alias("component"))
 
 
 def ego_components(ego_edges: DataFrame) -> DataFrame:

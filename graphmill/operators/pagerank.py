@@ -12,7 +12,8 @@ its out-edges, and a receiving vertex adds ``(1 - reset) * received``.
   ``reset`` and truncated after ``r`` steps.
 
 Only the per-round increments (the frontier) are joined with the edges, so a
-round costs the edges of vertices that still change, not the whole graph.
+round costs the edges of vertices that still change, not the whole graph; a hub's
+out-edges are dealt over mirrors, each of which sends its share.
 The final rank is ``reset`` plus the sum of a vertex's increments.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphmill.functions.graph import vertices_of
-from graphmill.functions.state import StateStore
+from graphmill.functions.state import Mirrors, StateStore
 
 
 def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None = None,
@@ -35,8 +36,7 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
     e = edges.select("src", "dst")
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
     # Static part: edge share 1/outdeg, materialised once and reused by every round.
-    share = store.save_bucketed(
-        e.join(outdeg, "src").select("src", "dst", (1.0 / F.col("outdeg")).alias("share")), "edges", ["src"])
+    share = Mirrors(store, e.join(outdeg, "src").select(F.col("src").alias("id"), "dst", (1.0 / F.col("outdeg")).alias("share")), "edges", "id", "dst")
     verts = store.save(vertices_of(e), "vertices")
     damp = 1.0 - reset
     frontier = verts.select("id", F.lit(reset).alias("delta"))
@@ -44,7 +44,7 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
     rounds = num_iter if num_iter is not None else max_iter
     for r in range(rounds):
         sending = frontier if tol is None else frontier.where(F.col("delta") > tol)
-        received = (sending.join(share, sending.id == share.src)
+        received = (share.meet(sending)
                     .groupBy("dst").agg(F.sum(F.col("delta") * F.col("share")).alias("msg"))
                     .select(F.col("dst").alias("id"), (F.col("msg") * damp).alias("delta")))
         # every round's increments are kept (summed at the end), so each gets its own name

@@ -26,7 +26,9 @@ from graphmill.operators.degree import degree_centrality
 from graphmill.operators.eigenvector import eigenvector
 from graphmill.operators import louvain as lv
 from graphmill.operators.pagerank import pagerank
-from graphmill.operators.paths import landmark_distances, mean_path_length, reachable, single_source
+from graphmill.operators.multi_source import path_summary
+from graphmill.operators.paths import landmark_distances, mean_path_length, reach_counts, reachable, single_source
+from graphmill.operators.propagation import propagate
 from graphmill.operators.triangles import local_clustering, triangle_count
 from graphmill.plans import graphs as G
 from graphmill.session import state_root
@@ -115,9 +117,35 @@ def q_eigenvector_tol(spark, sf):
 
 
 def q_closeness(spark, sf):
+    return closeness(_part(spark, sf), orientation="canonical")
+
+
+def q_closeness_to_seeds(spark, sf):
     return closeness(canonical(_part(spark, sf)), targets=G.seed_parts(spark, sf))
 
 
+def q_hop_summary(spark, sf):
+    return path_summary(_part(spark, sf)).select("id", "reached", _r6("mean"), "eccentricity")
+
+
+def q_reach_counts(spark, sf):
+    return reach_counts(canonical(_part(spark, sf)))
+
+
+def q_reach_counts_cyclic(spark, sf):
+    return reach_counts(_part(spark, sf))
+
+
+def q_propagate_hops(spark, sf):
+    e = _part(spark, sf)
+    ids = vertices_of(e)
+    origin = ids.agg(F.min("id").alias("origin"))
+    state = ids.join(F.broadcast(origin), ids["id"] == origin["origin"], "left").select("id", F.when(F.col("origin").isNotNull(), 0).cast("long").alias("hops"))
+    out = propagate(state, e.select("src", "dst"), send={"sent": F.col("hops") + 1}, merge={"sent": "min"},
+                    update={"hops": F.coalesce(F.least("hops", "sent"), "sent")}, start=F.col("hops") == 0)
+    return out.where("hops is not null")
+
+
 def q_seed_hops(spark, sf):
     return landmark_distances(symmetrize(_part(spark, sf)), G.seed_parts(spark, sf))
 
@@ -143,7 +171,7 @@ def q_sssp_distances(spark, sf):
 
 
 def q_k_hop_edges(spark, sf):
-    return k_hop_edges(_part(spark, sf), KHOP_K, roots=G.seed_parts(spark, sf))
+    return k_hop_edges(_part(spark, sf), KHOP_K)
 
 
 def q_ego_components(spark, sf):
@@ -155,30 +183,14 @@ def q_reachable(spark, sf):
 
 
 def q_k_hop(spark, sf):
-    return k_hop_neighborhood(_part(spark, sf), KHOP_K, roots=G.seed_parts(spark, sf))
-
-
-def q_k_betweenness_2(spark, sf):
-    return k_betweenness(_part(spark, sf), 2, roots=G.seed_parts(spark, sf)).select("id", _r6("value"))
-
-
-def q_k_betweenness_3(spark, sf):
-    return k_betweenness(_part(spark, sf), 3, roots=G.seed_parts(spark, sf)).select("id", _r6("value"))
-
-
-def q_k_hop_all(spark, sf):
     return k_hop_neighborhood(_part(spark, sf), KHOP_K)
 
 
-def q_k_hop_edges_all(spark, sf):
-    return k_hop_edges(_part(spark, sf), KHOP_K)
-
-
-def q_k_betweenness_2_all(spark, sf):
+def q_k_betweenness_2(spark, sf):
     return k_betweenness(_part(spark, sf), 2).select("id", _r6("value"))
 
 
-def q_k_betweenness_3_all(spark, sf):
+def q_k_betweenness_3(spark, sf):
     return k_betweenness(_part(spark, sf), 3).select("id", _r6("value"))
 
 
@@ -252,6 +264,16 @@ def q_weighted_edge_list_roundtrip(spark, sf):
     return io.read_weighted_edge_list(spark, path)
 
 
+def q_permissive_roundtrip(spark, sf):
+    """A weighted edge list with a line of words for each part in it, read permissively, with the number of lines dropped."""
+    path = _scratch(spark, "mixed-edge-list")
+    io.write_edge_list(_part(spark, sf), f"{path}/edges", weighted=True)
+    G.table(spark, sf, "part").select(F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_type").alias("value")).write.text(f"{path}/words")
+    edges, seen = io.drop_corrupt(io.read_weighted_edge_list(spark, f"{path}/*", mode="permissive"))
+    edges = StateStore(spark, "permissive").save(edges, "edges")
+    return edges.withColumn("dropped", F.lit(seen.get["dropped"]).cast("long"))
+
+
 def q_ego_nets_roundtrip(spark, sf):
     path = _scratch(spark, "ego-nets")
     io.write_ego_nets(G.customer_ego_nets(spark, sf), path)
@@ -296,10 +318,11 @@ QUERIES: dict[str, Query] = {
     "k_hop_edges": q_k_hop_edges,
     "k_betweenness_2": q_k_betweenness_2,
     "k_betweenness_3": q_k_betweenness_3,
-    "k_hop_all": q_k_hop_all,
-    "k_hop_edges_all": q_k_hop_edges_all,
-    "k_betweenness_2_all": q_k_betweenness_2_all,
-    "k_betweenness_3_all": q_k_betweenness_3_all,
+    "closeness_to_seeds": q_closeness_to_seeds,
+    "hop_summary": q_hop_summary,
+    "reach_counts": q_reach_counts,
+    "reach_counts_cyclic": q_reach_counts_cyclic,
+    "propagate_hops": q_propagate_hops,
     "connected_components": q_connected_components,
     "ego_circles": q_ego_circles,
     "ego_components": q_ego_components,
@@ -313,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "compress_by_size_edges": q_compress_by_size_edges,
     "edge_list_roundtrip": q_edge_list_roundtrip,
     "weighted_edge_list_roundtrip": q_weighted_edge_list_roundtrip,
+    "permissive_roundtrip": q_permissive_roundtrip,
     "ego_nets_roundtrip": q_ego_nets_roundtrip,
     "graph_roundtrip": q_graph_roundtrip,
     "vertices_roundtrip": q_vertices_roundtrip,
@@ -626,9 +650,26 @@ SELECT least(src, dst) AS src, greatest(src, dst) AS dst, 1.0::DOUBLE AS weight
     "graph_roundtrip": _W(_P, G.PART_SIZES_SQL) + """
 SELECT g.src, g.dst, g.weight, a.label AS src_label, b.label AS dst_label
 FROM g_part g LEFT JOIN sizes a ON a.id = g.src LEFT JOIN sizes b ON b.id = g.dst""",
+    "permissive_roundtrip": _W(_P) + "\nSELECT src, dst, weight, (SELECT count(*) FROM part) AS dropped FROM g_part",
     "ego_nets_roundtrip": _W(G.EGO_NETS_SQL) + "\nSELECT ego_id, src, dst FROM ego",
 }
 
-# The same from every root.
-ORACLE |= {f"{name}_all": ORACLE[name].replace(" SEMI JOIN seeds USING (id)", "")
-           for name in ("k_hop", "k_hop_edges", "k_betweenness_2", "k_betweenness_3")}
+# From every vertex, where the operators also take seeds.
+_SEEDED = " SEMI JOIN seeds USING (id)"
+ORACLE["closeness_to_seeds"] = ORACLE["closeness"]
+for _name in ("k_hop", "k_hop_edges", "k_betweenness_2", "k_betweenness_3", "closeness"):
+    ORACLE[_name] = ORACLE[_name].replace(_SEEDED, "")
+
+_CLOSED = """
+  r(id, reachable) AS (SELECT id, id FROM v UNION SELECT r.id, c.dst FROM r JOIN c ON c.src = r.reachable)"""
+ORACLE |= {
+    "reach_counts": _W(_P, _V, """
+  c AS (SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM g_part)""", _CLOSED) + "\nSELECT id, count(*) AS reached FROM r GROUP BY id",
+    "reach_counts_cyclic": _W(_P, _V, """
+  c AS (SELECT DISTINCT src, dst FROM g_part)""", _CLOSED) + "\nSELECT id, count(*) AS reached FROM r GROUP BY id",
+    "hop_summary": _W(_P, _V, _dist_sql("""
+  pe AS (SELECT DISTINCT src, dst FROM g_part)""", "SELECT id, id, 0::BIGINT FROM v", "1")) + """
+SELECT id, count(*) AS reached, round(sum(distance) / count(*), 6) AS mean, max(distance) AS eccentricity FROM d GROUP BY id""",
+    "propagate_hops": _W(_P, _V, _dist_sql("""
+  pe AS (SELECT DISTINCT dst AS src, src AS dst FROM g_part)""", "SELECT min(id), min(id), 0::BIGINT FROM v", "1")) + "\nSELECT id, distance AS hops FROM d",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 
@@ -10,6 +11,50 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+#: State folders and tables that this process has written and not freed.
+_written: list[tuple[str, str]] = []
+
+
+def driver_heap_gb() -> int:
+    """Heap of a local session: two fifths of the machine's memory (Python workers and the system need the rest), at most 16 GB."""
+    try:
+        with open("/sys/fs/cgroup/memory.max") as f:
+            limit = int(f.read())
+    except (OSError, ValueError):  # no limit
+        limit = 1 << 62
+    there = min(limit, os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES"))
+    return max(1, min(16, there * 2 // 5 >> 30))
+
+
+def note_state(path: str, table: str = "") -> None:
+    """Remember a state folder (or the table over it) for ``free_state``."""
+    _written.append((path, table))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system; a failure is logged, as nothing depends on it."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception as ex:  # pragma: no cover - e.g. Spark Connect sessions
+        logging.getLogger(__name__).warning("state %s was not deleted: %s", path, ex)
+
+
+def free_state(spark: SparkSession) -> int:
+    """Delete all state that this process has written so far, and give the number of folders.
+
+    For a caller that has written or read its results: frames that operators returned before can't be read afterwards.
+    """
+    n = len(_written)
+    while _written:
+        path, table = _written.pop()
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        delete_path(spark, path)
+    return n
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "graphmill",
                   checkpoint_dir: str | None = None, extra: dict | None = None) -> SparkSession:
     """A ``local[cores]`` session for tests and the bench (UI off, AQE on, UTC)."""
@@ -23,7 +68,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", f"{driver_heap_gb()}g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if checkpoint_dir:
