@@ -85,7 +85,7 @@ def _tokens(frame: DataFrame) -> DataFrame:
                                "after": F.expr("case when size(m) > 0 then slice(g, 2, size(m)) end")})
     frame = frame.withColumn("k", F.expr(r"""case when size(m) > 0 then transform(arrays_zip(m, at, before, after), x -> struct(
           x.at + length(regexp_extract(x.m, r'^[^A-Za-z0-9+(]*', 0)) as start,
-          regexp_replace(x.m, r'^[^A-Za-z0-9+(]+|[^A-Za-z0-9]+$', '') as core,
+          regexp_replace(x.m, r'^[^A-Za-z0-9+(]++|(?:(?<![^A-Za-z0-9])|\G)[^A-Za-z0-9]++$', '') as core,
           lower(regexp_extract(x.before, r'(\S+)\s+$', 1)) as before,
           lower(regexp_extract(x.after, r'^\s+(\S+)', 1)) as after)) end"""))
     base = "concat(email, ip, card, phone)"

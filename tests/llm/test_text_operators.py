@@ -57,6 +57,13 @@ def test_pii_discovers(spark):
     assert got[90] == "context:5:21" and got[91] == "" and got[7] == ""
 
 
+def test_pii_long_runs_of_other_characters(spark):
+    """A paragraph without spaces or ASCII letters is trimmed in one pass."""
+    rows = [(1, "5" + "中" * 200_000 + "a"), (2, "5" + "." * 200_000), (3, "-+@" + "é" * 200_000)]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.extract(frame(spark, rows))).collect()}
+    assert got == {1: "", 2: "", 3: ""}
+
+
 def test_pii_finds_other_shapes_and_chains(spark):
     """A shape that no base expression matches, by its context; what is found so makes the next context known."""
     rows = [(i, f"phone +1-555-123-4{i:03d} now") for i in range(40)]
