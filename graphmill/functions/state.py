@@ -8,28 +8,41 @@ come from an ``Observation`` on the writing job, so asking "did anything
 change?" costs no scan.  Frames that operators return read these tables, so
 they stay until their reader is done and calls ``graphmill.session.free_state``; what
 only a loop needed goes when the loop ends (``StateStore.free``).
+
+A loop that names its store (``resume=``) can be taken up by another driver: after each round it commits a manifest,
+the round's numbers and the folders of its tables, and a later call of that name starts from the last one.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from graphmill.session import delete_path, note_state, state_root
+from graphmill.session import delete_path, list_path, note_state, read_text, state_root, write_text
 
 
 class StateStore:
-    """Writes named state tables round by round and frees superseded ones."""
+    """Writes named state tables round by round and frees superseded ones.
+
+    ``resume`` names the loop: its folder then outlives this process and ``free_state``, until ``forget``.  Tables that a
+    manifest names are safe from being superseded until the next commit, if every version of them is committed.
+    """
 
-    def __init__(self, spark: SparkSession, tag: str, keep: int = 2):
+    def __init__(self, spark: SparkSession, tag: str, keep: int = 2, resume: str | None = None):
         self.spark = spark
-        self.base = f"{state_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
-        note_state(self.base)
+        run = uuid.uuid4().hex[:12]
+        self.home = f"{state_root(spark)}/{tag}-resume-{resume}" if resume else None
+        self.base = f"{self.home}/run-{run}" if resume else f"{state_root(spark)}/{tag}-{run}"
+        if not resume:
+            note_state(self.base)
         self.keep = keep
-        self._seq = 0
+        self._seq = self._commits = 0
         self._versions: dict[str, list[str]] = {}
+        self._schemas: dict[str, T.StructType] = {}
         self._tables: list[str] = []
 
     def save(self, df: DataFrame, name: str, **metrics: Column) -> DataFrame | tuple[DataFrame, dict]:
@@ -49,6 +62,7 @@ class StateStore:
             df.write.mode("overwrite").parquet(path)
         versions = self._versions.setdefault(name, [])
         versions.append(path)
+        self._schemas[name] = df.schema
         while len(versions) > self.keep:
             delete_path(self.spark, versions.pop(0))
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -71,6 +85,49 @@ class StateStore:
         note_state(path, table)
         return self.spark.table(table)
 
+    def commit(self, tables: list[str], done: bool = False, **facts) -> None:
+        """Note the end of a round: the last versions of ``tables`` and what else the loop needs (JSON values).
+
+        Manifests have rising numbers and none is overwritten, so a driver that dies while writing one leaves the one before.
+        With ``done``, all other tables of the loop go.  A store without a name does nothing.
+        """
+        if not self.home:
+            return
+        named = {t: (self._versions[t][-1], self._schemas[t].json()) for t in tables}
+        self._commits += 1
+        write_text(self.spark, f"{self.home}/manifest-{self._commits:08d}.json", json.dumps({"tables": named, "facts": facts, "done": done}) + "\n")
+        delete_path(self.spark, f"{self.home}/manifest-{self._commits - 2:08d}.json")
+        if done:
+            for table in self._tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self._tables = []
+            def of_run(path):
+                return path.rsplit("/", 2)[1:]
+
+            wanted = [of_run(path) for path, _ in named.values()]
+            for run in list_path(self.spark, self.home):
+                for folder in list_path(self.spark, run) if of_run(run)[1].startswith("run-") else []:
+                    if of_run(folder) not in wanted:
+                        delete_path(self.spark, folder)
+
+    def resumed(self) -> tuple[dict[str, DataFrame], dict, bool] | None:
+        """Tables, facts and whether the loop has ended, from the last whole manifest of this name."""
+        if not self.home:
+            return None
+        found = sorted((p for p in list_path(self.spark, self.home) if "/manifest-" in p), reverse=True)
+        for path in found:
+            text = read_text(self.spark, path)
+            if not text.endswith("\n"):
+                continue  # its driver died while writing it
+            m = json.loads(text)
+            self._commits = int(found[0].rsplit("-", 1)[1].split(".")[0])
+            tables = {}
+            for name, (folder, schema) in m["tables"].items():
+                self._versions[name], self._schemas[name] = [folder], T.StructType.fromJson(json.loads(schema))
+                tables[name] = self.spark.read.schema(self._schemas[name]).parquet(folder)
+            return tables, m["facts"], m["done"]
+        return None
+
     def free(self) -> None:
         """Delete everything that this store has written."""
         for table in self._tables:
@@ -79,6 +136,17 @@ class StateStore:
         delete_path(self.spark, self.base)
 
 
+def forget(spark: SparkSession, tag: str, resume: str) -> None:
+    """Delete the state of a loop of that name, its result with it."""
+    delete_path(spark, f"{state_root(spark)}/{tag}-resume-{resume}")
+
+
+def fingerprint(rows: DataFrame) -> list[int]:
+    """Number of rows and a digest of them, whatever their order: tells whether a loop resumes on the rows that it began with."""
+    return list(rows.select(F.xxhash64(*rows.columns).alias("h")).agg(
+        F.count(F.lit(1)), F.coalesce(F.bit_xor("h"), F.lit(0)), F.coalesce(F.sum(F.col("h") % 1_000_003), F.lit(0))).first())
+
+
 class DeltaLog:
     """A keyed table that grows by appended changes.
 

@@ -23,17 +23,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphmill.functions.graph import vertices_of
-from graphmill.functions.state import Mirrors, StateStore
+from graphmill.functions.state import Mirrors, StateStore, fingerprint
 
 
 def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None = None,
-             reset: float = 0.15, normalize: bool = False, max_iter: int = 10_000) -> DataFrame:
-    """``(id, value)`` for every endpoint of ``edges`` (parallel edges all count)."""
+             reset: float = 0.15, normalize: bool = False, max_iter: int = 10_000, resume: str | None = None) -> DataFrame:
+    """``(id, value)`` for every endpoint of ``edges`` (parallel edges all count).
+
+    ``resume``: a name under which the rounds are kept, so that another driver goes on where this one is lost.
+    """
     if (tol is None) == (num_iter is None):
         raise ValueError("give exactly one of tol= or num_iter=")
     spark = edges.sparkSession
-    store = StateStore(spark, "pagerank")
+    store = StateStore(spark, "pagerank", resume=resume)
     e = edges.select("src", "dst")
+    given = [*fingerprint(e), tol, num_iter, reset] if resume else None
+    kept = store.resumed()
+    if kept and kept[1]["given"] != given:
+        raise ValueError(f"the state named {resume!r} is of other edges or settings")
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
     # Static part: edge share 1/outdeg, materialised once and reused by every round.
     share = Mirrors(store, e.join(outdeg, "src").select(F.col("src").alias("id"), "dst", (1.0 / F.col("outdeg")).alias("share")), "edges", "id", "dst")
@@ -42,7 +49,12 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
     frontier = verts.select("id", F.lit(reset).alias("delta"))
     increments = []
     rounds = num_iter if num_iter is not None else max_iter
-    for r in range(rounds):
+    if kept:
+        increments = [kept[0][f"delta{r}"] for r in range(kept[1]["rounds"])]
+        frontier = increments[-1]
+    for r in range(len(increments), rounds):
+        if kept and not kept[1]["rows"]:
+            break
         sending = frontier if tol is None else frontier.where(F.col("delta") > tol)
         received = (share.meet(sending)
                     .groupBy("dst").agg(F.sum(F.col("delta") * F.col("share")).alias("msg"))
@@ -50,6 +62,7 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
         # every round's increments are kept (summed at the end), so each gets its own name
         frontier, m = store.save(received, f"delta{r}", rows=F.count(F.lit(1)))
         increments.append(frontier)
+        store.commit([f"delta{i}" for i in range(r + 1)], given=given, rounds=r + 1, rows=m["rows"] or 0)
         if not m["rows"]:
             break
     else:

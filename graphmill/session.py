@@ -41,6 +41,35 @@ def delete_path(spark: SparkSession, path: str) -> None:
         logging.getLogger(__name__).warning("state %s was not deleted: %s", path, ex)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder of the shared file system (nothing, if there is none)."""
+    fs, p = _file_system(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file to the shared file system."""
+    fs, p = _file_system(spark, path)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a small file of the shared file system."""
+    fs, p = _file_system(spark, path)
+    given = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(given, "UTF-8")
+    finally:
+        given.close()
+
+
 def free_state(spark: SparkSession) -> int:
     """Delete all state that this process has written so far, and give the number of folders.
 
