@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,36 @@ def test_page_deep():
     assert html_extract.main_text(page) == f"{LONG.strip()}\nin\n{LONG.strip()}"
 
 
+TEXT = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+READ = f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><form id='aspnetForm'><nav><a>m</a></nav><div>{TEXT}</div><footer>f</footer></form></body>", READ),
+    (f"<body><div aria-hidden='true'><form><article>{TEXT}</article></form></div></body>", READ),
+    (f"<body><header class='wrap'><nav>m</nav><main>{TEXT}</main></header></body>", READ),
+    (f"<body><nav><a>one</a> <a>two</a>{TEXT}</body>", READ), (f"<body><header><a>one</a><article>{TEXT}</article></body>", READ),
+    (f"<body><svg class='i'/>{TEXT}</body>", READ), (f"<body><p>x <svg><path d='M0'/><text>drawn</text><h1>T</h1><p>{LONG}</p><p>{LONG}</p></body>", "x\n" + READ),
+    (f"<article><h1>T</h1><p>{LONG}a<svg><title>i</title><g><text>drawn</text></g></svg>b</p></article>", f"T\n{LONG}ab"),
+    (f"<article><header><h1>T</h1><p>Stand, first.</p><span>by me</span></header><p>{LONG}</p></article>", f"T\nStand, first.\n{LONG.strip()}"),
+    # no wrappers: the page has its text elsewhere, or none
+    (f"<body><article>{TEXT}</article><form><h1>Sign up</h1><p>{LONG}</p></form></body>", READ),
+    ("<body><form><label>Search</label><button>Go</button></form></body>", ""), ("<body><nav><a>m</a>", ""),
+    (f"<body><nav><p>{LONG}</p><p>{LONG}</p></nav></body>", ""), (f"<article>{TEXT}</article><footer>f, and more", READ),
+])
+def test_page_wrapped_or_unclosed(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def test_page_names_and_menus_at_any_depth():
+    """Below 5,000 elements a menu, a role and a hidden element are still left out, in time that grows with the page."""
+    deep = "<div>" * 5000 + f"<nav>m</nav><p hidden>h</p><div role='search'>s</div><p>{LONG}</p>" + "<i></b>" * 20_000 + "</div>" * 5000
+    begun = time.time()
+    assert html_extract.main_text(f"<body><article><p>{LONG}</p>{deep}</article></body>") == f"{LONG.strip()}\n{LONG.strip()}"
+    assert html_extract.main_text("<div class='sidebar'><p>x</p>" * 5000 + f"<article>{TEXT}</article>").endswith(READ)
+    assert time.time() - begun < 20
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, None, None, 5), (1, "u", "<p>x", 5), (1, "u", "<p>x", 5)], "page_id long, url string, html string, text int")
     assert sorted(r["n_chars"] for r in html_extract.extract(pages).collect()) == [0, 1, 1]
