@@ -120,7 +120,7 @@ def parse(data: np.ndarray, offsets: np.ndarray, trigger: int = TRIGGER, longest
 def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", trigger: int = TRIGGER, longest: int = LONGEST, size: int = SLICE) -> DataFrame:
     """Distinct chunks: ``lang, chunk, own`` (words that are its own) and the parse frequency ``n``."""
     bounded_batches(docs.sparkSession)
-    given = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), text_of(f"`{text}`").cast("binary").alias("t"))
+    given = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), text_of(text).cast("binary").alias("t"))
 
     def run(batches):
         for batch in batches:
