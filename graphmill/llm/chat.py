@@ -11,6 +11,10 @@ A long dialogue is never gathered: turns are range-partitioned and written, each
 part gets running sums of its own, and parts are moved by the sums before them
 (one row a part).
 
+A turn can't forge another: in texts and shown names, a mark gets a backslash after its ``<`` (also one that has
+some already, so taking one away gives the text back), and a line break in a shown name becomes a space.
+``name`` and ``perspective`` are as given.
+
 Cases: a null text is an empty turn; a null speaker is called ``unknown``; a null
 conversation id is one conversation; turns are ordered by number (null first),
 then speaker, then digest of the text, and repeated rows are turns of their own;
@@ -27,6 +31,9 @@ from graphmill.llm.common import settle, text_of
 SYSTEM, UNKNOWN = "system", "unknown"
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 ORDER = ("turn", "speaker", "digest")
+#: A mark, or one that was escaped before, and what takes its place.
+MARK, ESCAPED = r"<(\\*)\|(im_start|im_end)\|>", r"<\\$1|$2|>"
+BREAKS = r"[\n\r]"
 
 
 def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text") -> DataFrame:
@@ -43,8 +50,9 @@ def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
     rows = rows.withColumns({
         "role": F.when(system, SYSTEM).when(own, "assistant").otherwise("user"),
         "name": F.when(~system & ~own, F.col("speaker"))})
-    head = F.concat(F.lit(BEGIN), F.col("role"), F.when(F.col("name").isNotNull(), F.concat(F.lit(" name="), F.col("name"))).otherwise(""), F.lit("\n"))
-    rows = rows.withColumns({"head": F.length(head), "rendered": F.concat(head, "text", F.lit(END), F.lit("\n"))})
+    shown = F.regexp_replace(F.regexp_replace("name", BREAKS, " "), MARK, ESCAPED)
+    head = F.concat(F.lit(BEGIN), F.col("role"), F.when(F.col("name").isNotNull(), F.concat(F.lit(" name="), shown)).otherwise(""), F.lit("\n"))
+    rows = rows.withColumns({"head": F.length(head), "rendered": F.concat(head, F.regexp_replace("text", MARK, ESCAPED), F.lit(END), F.lit("\n"))})
     within = Window.partitionBy("conv_id", "perspective", "part").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     rows = settle(rows.withColumns({"rank": F.row_number().over(within.rowsBetween(Window.unboundedPreceding, 0)),
                                     "stop": F.sum(F.length("rendered")).over(within)}).drop("text", "digest"), "rendered")
@@ -65,6 +73,8 @@ def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
                       F.when(trained, end - 1).cast("long").alias("loss_end"))
 
 
+#: The same in DuckDB's notation.
+_SQL_ESCAPE = f"'{MARK}', '" + r"<\\\1|\2|>" + "', 'g')"
 ROTATE_SQL = f"""
 WITH base AS (SELECT conv_id, turn, coalesce(role, '{UNKNOWN}') AS speaker, coalesce(text, '') AS text FROM conversations),
 people AS (SELECT DISTINCT conv_id AS conv, speaker AS perspective FROM base WHERE speaker <> '{SYSTEM}'),
@@ -72,8 +82,9 @@ said AS (SELECT conv_id, perspective, turn, speaker, md5(text) AS digest, text,
     CASE WHEN speaker = '{SYSTEM}' THEN '{SYSTEM}' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role,
     CASE WHEN speaker <> '{SYSTEM}' AND speaker <> perspective THEN speaker END AS name
   FROM base JOIN people ON conv_id IS NOT DISTINCT FROM conv),
-headed AS (SELECT *, '{BEGIN}' || role || coalesce(' name=' || name, '') || chr(10) AS head FROM said),
-shown AS (SELECT *, head || text || '{END}' || chr(10) AS rendered FROM headed),
+headed AS (SELECT *, '{BEGIN}' || role || coalesce(' name=' || regexp_replace(regexp_replace(name, '{BREAKS}', ' ', 'g'), {_SQL_ESCAPE}, '')
+    || chr(10) AS head FROM said),
+shown AS (SELECT *, head || regexp_replace(text, {_SQL_ESCAPE} || '{END}' || chr(10) AS rendered FROM headed),
 placed AS (SELECT *, row_number() OVER w - 1 AS position, sum(length(rendered)) OVER w AS stop FROM shown
   WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, digest ROWS UNBOUNDED PRECEDING))
 SELECT conv_id, perspective, CAST(position AS BIGINT) AS position, turn, role, name, rendered,
