@@ -76,6 +76,30 @@ def test_pii_finds_other_shapes_and_chains(spark):
     assert got[300] == "context:5:17" and got[301] == got[302] == got[303] == ""
 
 
+def test_pii_finds_secrets(spark):
+    """Named secrets, with and without white space; a like value after an ordinary word isn't one."""
+    def value(i):
+        return hashlib.sha1(b"%d" % i).hexdigest()
+
+    rows = [(i, f'so it went token = "{value(i)}" and on') for i in range(20)]
+    rows += [(100 + i, f"see password={value(100 + i)} there") for i in range(12)]
+    rows += [(200, 'token = "short9" and'), (201, f"commit {value(201)} by me"), (202, f"commit {value(202)} by me"), (203, "password=hunter2 there")]
+    rows += [(300, "token = \"" + "中" * 100_000 + " 5"), (301, "中" * 100_000 + " 12 " + "é" * 100_000)]
+    got = {r["doc_id"]: r for r in pii.digest(pii.extract(frame(spark, rows))).collect()}
+    assert all(got[i]["spans"] == "context:20:60" and got[i]["n_context"] == got[i]["n_spans"] == 1 for i in range(20))
+    assert all(got[100 + i]["spans"] == "context:13:53" for i in range(12)) and got[203]["spans"] == "context:9:16"
+    assert got[201]["spans"] == got[202]["spans"] == got[300]["spans"] == got[301]["spans"] == ""
+
+
+def test_pii_common_words_are_contradicted(spark):
+    """Numbers that fail the check digit after a word that mostly stands before ordinary words aren't marked."""
+    cards = [f"411111111111{i:03d}{c}" for i in range(8) for c in range(10) if brute.luhn(f"411111111111{i:03d}{c}")]
+    rows = [(i, f"the {n} was the word of the day and the night") for i, n in enumerate(cards)]
+    rows += [(100 + i, "the cat was the dog the hat the end " * 5) for i in range(40)] + [(200, "the 4111111111119995 was")]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.extract(frame(spark, rows))).collect()}
+    assert not brute.luhn("4111111111119995") and got[200] == "" and got[0] == "card:4:20"
+
+
 def test_packing_pieces(spark, sf, documents):
     from tokenizers import Tokenizer
 
