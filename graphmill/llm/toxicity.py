@@ -8,7 +8,10 @@ rows, cut at the terciles: 0 is clean, 1 to 3 rising severity.  A feature is
 typical by its smoothed log odds over the training rows, weighted by the root of
 its count; the model's sparse weights are of typical features.  One weight vector
 serves all ordered thresholds, ``P(grade > k) = sigmoid(w.x - theta_k)``, fitted by
-FTRL on about ``max_rows`` labelled rows at most (a documented bound).  A text's
+FTRL on about ``max_rows`` labelled rows at most (a documented bound), split by hash
+into shards whose weights and thresholds are averaged.  Features are counted slice by
+slice and added up by a group-by; a shard's task holds only the typical features of
+its rows, never their texts.  A text's
 severity is its expected grade, the sum of ``P(grade > k)``; it is toxic where
 ``P(grade > 0) >= CUT``.
 
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import bounded_batches, bytes_of, spans_of_rows, text_of
+from graphmill.llm.common import bounded_batches, bytes_of, settle, spans_of_rows, text_of
 from graphmill.llm.ftrl import Ftrl
 from graphmill.llm.quality import training_rows
 from graphmill.llm.words import ALNUM_ONLY, words
@@ -61,26 +64,49 @@ def _rows(texts: pa.Array):
         yield from (feature[a:b] for a, b in zip(cut[:-1], cut[1:]))
 
 
-def typical(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Mask of the features that are typical of toxic rows."""
-    bad, good = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
-    for i, t in zip(rows, toxic):
-        (bad if t else good)[i] += 1
-    at = np.flatnonzero(bad >= MIN_ROWS)
-    odds = np.log((bad[at] + 0.5) / (toxic.sum() + 1)) - np.log((good[at] + 0.5) / ((~toxic).sum() + 1))
-    out = np.zeros(1 << BITS, bool)
-    out[at[odds * np.sqrt(bad[at]) >= MIN_ODDS]] = True
-    return out
+def typical(rows: DataFrame) -> np.ndarray:
+    """Ascending features that are typical of toxic rows, from rows ``text, toxic``."""
+    def count(batches):
+        for batch in batches:
+            data, offsets = bytes_of(batch.column("text"))
+            bad = batch.column("toxic").to_numpy(zero_copy_only=False)
+            for first, end in spans_of_rows(offsets, SLICE):
+                key = _hits(data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first])
+                at, place = np.unique(key & ((1 << BITS) - 1), return_inverse=True)
+                n, toxic = np.bincount(place, minlength=len(at)), np.bincount(place, bad[first + (key >> BITS)], len(at))
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(toxic.astype(np.int64)), pa.array(n - toxic.astype(np.int64))],
+                                                 names=["i", "bad", "good"])
+
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0)).alias("bad")).first()
+    sums = rows.select("text", "toxic").mapInArrow(count, "i long, bad long, good long").groupBy("i").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    odds = F.log((F.col("bad") + 0.5) / (total["bad"] + 1)) - F.log((F.col("good") + 0.5) / (total["n"] - total["bad"] + 1))
+    some = sums.where((F.col("bad") >= MIN_ROWS) & (odds * F.sqrt("bad") >= MIN_ODDS)).select("i")
+    return np.sort(some.toPandas()["i"].to_numpy(np.int64))  # typical features of a bounded number of rows, 2**BITS at most
+
+
+def known_features(rows: DataFrame, ids: np.ndarray) -> DataFrame:
+    """``shard, toxic, size, own``: per row of ``text, toxic, shard`` its number of features and the places of its own in ``ids``."""
+    sent = rows.sparkSession.sparkContext.broadcast(ids)
 
+    def run(batches):
+        ids = sent.value
+        mask = np.zeros(1 << BITS, bool)
+        mask[ids] = True
+        for batch in batches:
+            kept = list(_rows(batch.column("text")))
+            own = [np.searchsorted(ids, i[mask[i]]) for i in kept]
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("toxic"), pa.array([len(i) for i in kept], pa.int64()),
+                                              pa.array(own, pa.list_(pa.int64()))], names=["shard", "toxic", "size", "own"])
+
+    return rows.select("text", "toxic", "shard").mapInArrow(run, "shard long, toxic boolean, size long, own array<long>")
 
-def grades(rows: list[np.ndarray], sizes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Grades of training rows, of which ``rows`` are the typical features and ``sizes`` the numbers of all."""
-    density = np.array([len(i) for i in rows]) / np.maximum(sizes, 1)
-    out = np.zeros(len(rows), int)
-    if toxic.any():
-        cuts = np.quantile(density[toxic], np.arange(1, GRADES - 1) / (GRADES - 1))
-        out[toxic] = 1 + np.searchsorted(cuts, density[toxic], "left")
-    return out
+
+def grades(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``grade``: 0, or 1 and more by the terciles of the toxic rows' densities."""
+    density = F.size("own") / F.greatest("size", F.lit(1))
+    cuts = rows.where("toxic").agg(F.percentile(density, F.array(*[F.lit(k / (GRADES - 1)) for k in range(1, GRADES - 1)])).alias("cuts")).first()["cuts"]
+    steps = [(density > c).cast("int") for c in cuts or ()]
+    return rows.withColumn("grade", F.when(F.col("toxic"), sum(steps, F.lit(1))).otherwise(0))
 
 
 def _sigmoid(s):
@@ -116,34 +142,42 @@ def train(rows: list[np.ndarray], grade: np.ndarray, dim: int) -> tuple[np.ndarr
     return model.weights(), gap[0] + np.concatenate([[0.0], np.cumsum(steps)])
 
 
-def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, their weights, and the thresholds, from bounded rows ``text, label``, in one task."""
+def fit(rows: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, their weights, and the thresholds, from bounded rows ``text, label, shard``."""
+    rows = rows.select("text", (F.col("label") > 0).alias("toxic"), F.col("shard").cast("long").alias("shard"))
+    ids, none = typical(rows), np.full(GRADES - 1, np.inf)
+    if not len(ids):
+        return ids, np.zeros(0), none
+    graded = grades(settle(known_features(rows, ids), "toxic-features"))
+    size = len(ids)
+
     def run(batches):
-        kept, toxic = [], []
+        kept, grade = [], []
         for batch in batches:
-            kept += list(_rows(batch.column("text")))
-            toxic += (batch.column("label").to_numpy(zero_copy_only=False) > 0).tolist()
-        toxic = np.array(toxic, bool)
-        if not toxic.any():
-            return
-        ids = np.flatnonzero(mask := typical(kept, toxic))
-        sizes = np.array([len(i) for i in kept])
-        kept = [np.searchsorted(ids, i[mask[i]]) for i in kept]
-        w, theta = train(kept, grades(kept, sizes, toxic), len(ids))
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[ids, -1 - np.arange(len(theta))]), pa.array(np.r_[w, theta])], names=["i", "w"])
-
-    model = rows.select("text", "label").repartition(1).mapInArrow(run, "i long, w double").toPandas()  # bounded like the rows
+            if not batch.num_rows:
+                continue
+            own = batch.column("own")
+            at = own.offsets.to_numpy()
+            kept += np.split(own.values.to_numpy()[at[0]:at[-1]], at[1:-1] - at[0])
+            grade += batch.column("grade").to_pylist()
+        if any(grade):
+            w, theta = train(kept, np.array(grade), size)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.arange(size), -1 - np.arange(len(theta))]), pa.array(np.r_[w, theta])], names=["i", "w"])
+
+    # in a fixed order, so that a task that runs again gives the same weights
+    parts = graded.repartition(shards, "shard").sortWithinPartitions("shard", "size", "grade", "own").select("own", "grade").mapInArrow(run, "i long, w double")
+    model = parts.groupBy("i").agg(F.avg("w").alias("w")).toPandas()  # typical features and GRADES - 1 rows
     i, w = model["i"].to_numpy(np.int64), model["w"].to_numpy(float)
-    theta = np.full(GRADES - 1, np.inf)
-    theta[-1 - i[i < 0]] = w[i < 0]
-    return i[i >= 0], w[i >= 0], theta
+    if not len(i):
+        return ids[:0], np.zeros(0), none
+    none[-1 - i[i < 0]] = w[i < 0]
+    return ids[i[i >= 0]], w[i >= 0], none
 
 
 def severity(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, severity, grade, p_toxic, toxic`` of every row; ``grade`` is the likeliest."""
     given = docs.select(F.col(f"`{key}`").alias("doc_id"), text_of(text).alias("text"))
-    rows, _ = training_rows(given, labels, "toxic", max_rows)
-    model = fit(rows)
+    model = fit(*training_rows(given, labels, "toxic", max_rows))
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # typical features of a bounded number of rows
 

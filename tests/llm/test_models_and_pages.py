@@ -5,12 +5,14 @@ from __future__ import annotations
 import html
 import re
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from graphmill.llm import html_extract, quality, toxicity
 from graphmill.llm.common import table
+from graphmill.llm.ftrl import Ftrl
 from graphmill.llm.queries import ORACLE, QUERIES
 from tests.oracle_check import compare, duck
 
@@ -153,3 +155,78 @@ def test_page_rows(spark):
 def test_sql(spark, sf, name):
     res = compare(QUERIES[name](spark, sf), duck(sf), ORACLE[name])
     assert res["exact"] and res["cols_match"], res
+
+
+def test_toxicity_statistics(spark, sf):
+    """Typical features, sizes and grades against plain counting, in two shards."""
+    import numpy as np
+    import pyarrow as pa
+
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id").where("toxic is not null")
+    plain = [(r["text"] or "", r["toxic"] > 0) for r in docs.select("text", "toxic").collect()]
+    found = list(toxicity._rows(pa.array([t for t, _ in plain])))
+    bad, good = Counter(), Counter()
+    for own, (_, toxic) in zip(found, plain):
+        (bad if toxic else good).update(own.tolist())
+    n_bad = sum(t for _, t in plain)
+    odds = {i: np.log((n + 0.5) / (n_bad + 1)) - np.log((good[i] + 0.5) / (len(plain) - n_bad + 1)) for i, n in bad.items() if n >= toxicity.MIN_ROWS}
+    want = sorted(i for i, o in odds.items() if o * np.sqrt(bad[i]) >= toxicity.MIN_ODDS)
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).alias("toxic"), F.pmod("doc_id", F.lit(2)).cast("long").alias("shard"))
+    ids = toxicity.typical(rows)
+    assert want and ids.tolist() == want
+    graded = toxicity.grades(toxicity.known_features(rows, ids)).collect()
+    known = [len(set(own.tolist()) & set(want)) / max(len(own), 1) for own in found]
+    cuts = np.quantile([d for d, (_, t) in zip(known, plain) if t], [1 / 3, 2 / 3])
+    assert sorted((r["toxic"], r["size"], len(r["own"]), r["grade"]) for r in graded) == sorted(
+        (t, len(own), round(d * len(own)), int(1 + (d > cuts).sum()) if t else 0) for own, d, (_, t) in zip(found, known, plain))
+
+
+def test_ordinal_steps_follow_the_gradient():
+    """Severity grows with the words that only severe rows have; thresholds ascend."""
+    import numpy as np
+
+    rows, grade = [], []
+    for k in range(400):
+        g = k % 4
+        rows.append(np.array([j for j in range(4) if j <= g]))
+        grade.append(g)
+    w, theta = toxicity.train(rows, np.array(grade), 4)
+    assert (np.diff(theta) > 0).all()
+    said = [int((w[r].sum() > theta).sum()) for r in rows[:4]]
+    assert said == [0, 1, 2, 3]
+
+
+def test_ftrl_equals_plain_updates():
+    """The vector form equals the per-coordinate rule written out."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    model, z, n = Ftrl(6, alpha=0.5, beta=1.0, l1=0.1, l2=0.2), [0.0] * 6, [0.0] * 6
+
+    def plain(i):
+        if abs(z[i]) <= 0.1:
+            return 0.0
+        return -(z[i] - (0.1 if z[i] > 0 else -0.1)) / ((1.0 + n[i] ** 0.5) / 0.5 + 0.2)
+
+    for _ in range(50):
+        i = np.sort(rng.choice(6, 3, replace=False))
+        g, w = rng.normal(size=3), model.weights(i)
+        assert np.allclose(w, [plain(j) for j in i])
+        model.update(i, g, w)
+        for j, d, u in zip(i, g, w):
+            z[j] += d - ((n[j] + d * d) ** 0.5 - n[j] ** 0.5) / 0.5 * u
+            n[j] += d * d
+    assert np.allclose(model.weights(), [plain(j) for j in range(6)])
+
+
+def test_quality_scores_are_plain_dot_products(spark, sf):
+    """Each score equals a sum over the text's own features, text by text."""
+    import numpy as np
+    import pyarrow as pa
+
+    docs = table(spark, sf, "documents")
+    weights = quality.fit(*quality.training_rows(docs, table(spark, sf, "labels"), "quality", 400))
+    got = quality.score(docs.select("doc_id", "text"), weights).collect()
+    for r in got[::5]:
+        i, x = next(quality._scaled(pa.array([r["text"] or ""]), quality.BITS))
+        assert abs(r["score"] - 1 / (1 + np.exp(-(sum(weights[a] * b for a, b in zip(i, x)) + weights[-1])))) < 1e-9
