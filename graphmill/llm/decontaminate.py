@@ -14,6 +14,9 @@ alignment of the wanted similarity, are aligned word by word (match +1, mismatch
 and gap -1).  ``similarity`` is the number of matched words over the longer of
 item and aligned stretch; 0.8 and more counts as contamination.
 
+Equal items are looked for once, by the digest of their text, and joined with the
+ids of all their rows at the end.
+
 Cases: null texts count as empty and match nothing; items without a word have no
 seed and match nothing; an item with a null id is an item like any
 other; repeated items or documents give a row each; of several passages of one
@@ -26,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from graphmill.llm.common import bounded_batches, bytes_of, may_hold, settle, spans_of_rows, text_of, unused
 from graphmill.llm.words import ALNUM_ONLY, ngrams, words
@@ -140,27 +142,19 @@ def _matches(block: Block, df: np.ndarray, row, at, seed, w, similarity: float):
             yield row[a], item[a], best[0], best[1], w.start[first + best[2]], w.end[first + best[3] - 1], best[4]
 
 
-def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-                  item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs of documents and items with an aligned passage.
-
-    ``doc_id, item_id, similarity, score, start, end, anchor_docs``: the passage
-    as UTF-8 bytes ``[start, end)`` of the text, and the number of documents that
-    hold the rarest of its seeds.
-    """
+def passages(docs: DataFrame, texts: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, digest, similarity, score, start, end, anchor_docs`` of the aligned passages of distinct item texts ``digest, item``."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    items = items.select(F.col(f"`{item_key}`").alias("item_id"), text_of(item_text).alias("item"))
     given = docs.select(F.col(f"`{key}`").alias("doc_id"), text_of(text).cast("binary").alias("t"))
-    chars = items.agg(F.sum(F.length("item"))).first()[0] or 0
+    chars = texts.agg(F.sum(F.length("item"))).first()[0] or 0
     blocks = 1 + 2 * chars // BLOCK_CHARS
-    id_type = items.schema["item_id"].dataType
     schema = given.select("doc_id").schema.add("item_no", "long").add("similarity", "double").add("score", "long") \
         .add("start", "long").add("end", "long").add("anchor_docs", "long")
     out = None
     for k in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k) if blocks > 1 else items
-        rows = some.collect()  # about BLOCK_CHARS / 2 characters
+        some = texts.where(F.pmod(F.xxhash64("digest"), F.lit(blocks)) == k) if blocks > 1 else texts
+        rows = some.collect()  # distinct texts of about BLOCK_CHARS / 2 characters
         block = Block([r["item"] for r in rows], similarity)
         sent = spark.sparkContext.broadcast(block)
 
@@ -199,16 +193,38 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
                         cols[1:], (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))]],
                     names=schema.names)
 
-        names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(rows)],
-                                      T.StructType([T.StructField("item_no", T.LongType()), T.StructField("item_id", id_type)]))
-        part = given.mapInArrow(find, schema).join(F.broadcast(names), "item_no")  # one row an item of this block
+        names = spark.createDataFrame([(i, bytes(r["digest"])) for i, r in enumerate(rows)], "item_no long, digest binary")
+        part = given.mapInArrow(find, schema).join(F.broadcast(names), "item_no")  # one row a distinct text of this block
         out = part if out is None else out.unionByName(part)
-    return out.select("doc_id", "item_id", "similarity", "score", "start", "end", "anchor_docs")
+    return out.select("doc_id", "digest", "similarity", "score", "start", "end", "anchor_docs")
+
+
+def distinct_texts(items: DataFrame, text: str = "text") -> DataFrame:
+    """``digest, item``: each text of ``items`` once."""
+    item = items.select(text_of(text).alias("item"))
+    return settle(item.select(_digest("item").alias("digest"), "item").groupBy("digest").agg(F.min("item").alias("item")), "items")
+
+
+def _digest(name: str):
+    return F.unhex(F.sha2(F.col(name).cast("binary"), 256))
+
+
+def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+                  item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs of documents and items with an aligned passage.
+
+    ``doc_id, item_id, similarity, score, start, end, anchor_docs``: the passage
+    as UTF-8 bytes ``[start, end)`` of the text, and the number of documents that
+    hold the rarest of its seeds.
+    """
+    ids = items.select(F.col(f"`{item_key}`").alias("item_id"), text_of(item_text).alias("item")).select("item_id", _digest("item").alias("digest"))
+    found = settle(passages(docs, distinct_texts(items, item_text), key, text, similarity), "passages")
+    return found.join(ids, "digest").select("doc_id", "item_id", "similarity", "score", "start", "end", "anchor_docs")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a passage of an item; only rows that may be dropped are moved."""
     own = unused(docs, "own_id")
-    gone = settle(contamination(docs, items, key, text).select(F.col("doc_id").alias(own)).distinct(), "contaminated")
+    gone = settle(passages(docs, distinct_texts(items), key, text).select(F.col("doc_id").alias(own)).distinct(), "contaminated")
     some, others = may_hold(docs, F.xxhash64(F.col(f"`{key}`")), gone.select(F.xxhash64(own).alias("k")), gone.count())
     return others.unionByName(some.join(gone, F.col(own).eqNullSafe(F.col(f"`{key}`")), "left_anti"))
