@@ -24,6 +24,7 @@ from graphmill.operators.closeness import closeness
 from graphmill.operators.components import connected_components, ego_circles, ego_components
 from graphmill.operators.degree import degree_centrality
 from graphmill.operators.eigenvector import eigenvector
+from graphmill.operators.delta_stepping import delta_stepping
 from graphmill.operators import louvain as lv
 from graphmill.operators.pagerank import pagerank
 from graphmill.operators.multi_source import path_summary
@@ -158,6 +159,10 @@ def q_landmark_weighted(spark, sf):
     return landmark_distances(_part(spark, sf), G.seed_parts(spark, sf), weighted=True)
 
 
+def q_landmark_delta(spark, sf):
+    return delta_stepping(_part(spark, sf), G.seed_parts(spark, sf))
+
+
 def q_sssp_mean(spark, sf):
     e = _part(spark, sf)
     origin = vertices_of(e).agg(F.min("id").alias("id"))
@@ -311,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "seed_hops": q_seed_hops,
     "landmark_hops": q_landmark_hops,
     "landmark_weighted": q_landmark_weighted,
+    "landmark_delta": q_landmark_delta,
     "sssp_mean": q_sssp_mean,
     "sssp_distances": q_sssp_distances,
     "reachable": q_reachable,
@@ -673,3 +679,6 @@ SELECT id, count(*) AS reached, round(sum(distance) / count(*), 6) AS mean, max(
     "propagate_hops": _W(_P, _V, _dist_sql("""
   pe AS (SELECT DISTINCT dst AS src, src AS dst FROM g_part)""", "SELECT min(id), min(id), 0::BIGINT FROM v", "1")) + "\nSELECT id, distance AS hops FROM d",
 }
+
+# the same rows by another method
+ORACLE["landmark_delta"] = ORACLE["landmark_weighted"]
