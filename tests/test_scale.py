@@ -13,6 +13,7 @@ from graphmill.operators.closeness import closeness
 from graphmill.operators.components import connected_components
 from graphmill.operators.eigenvector import eigenvector
 from graphmill.operators import multi_source
+from graphmill.operators.louvain import mostly_near
 from graphmill.operators.paths import landmark_distances, reach_counts
 from graphmill.operators.propagation import propagate, strong_components
 from graphmill.session import free_state
@@ -172,3 +173,8 @@ def test_state_is_freed(spark, tmp_path):
     assert table.count() == 3 and free_state(spark) >= 2 and free_state(spark) == 0
     with pytest.raises(Exception):
         spark.read.parquet(store.base).count()
+
+
+def test_scoring_all_where_most_hear_of_a_change():
+    assert mostly_near(30, 1000, 29) and not mostly_near(20, 1000, 29) and not mostly_near(0, 1000, 29) and not mostly_near(0, 0, 0)
+    assert mostly_near(1000, 1000, 0.5)
