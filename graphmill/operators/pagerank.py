@@ -11,129 +11,17 @@ its out-edges, and a receiving vertex adds ``(1 - reset) * received``.
   same fixed point iteration ``x = reset + (1 - reset) * P x`` started at
   ``reset`` and truncated after ``r`` steps.
 
-Vertices are dealt by hash into parts and numbered within them; the out-edges of a part are a block of arrays (several,
-if hubs give it more than others), written once.  A round joins a part's increments, one array, with its blocks, sums
-what each block sends to a vertex, and exchanges these sums as arrays: no row an edge, and no sort of rows.
+Increments and edges are arrays (``functions.blocks``): a round exchanges sums by vertex, not a row an edge.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphmill.functions import blocks as B
 from graphmill.functions.state import StateStore, fingerprint
 
-#: Out-edges of the vertices that share a part, about; a block has twice as many at most, unless edges are parallel.
-BLOCK_EDGES = 500_000
-#: Parts of the vertices in a bucket of blocks, at most about.
-PARTS_HELD = 4
-_STATE = "part int, delta binary, total binary, got long"
-
-
-def _packed() -> Callable[[pa.Table], pa.Table]:
-    """A function that goes to tasks as it is, without this module."""
-
-    def pack(table: pa.Table) -> pa.Table:
-        """The block of a group's edges: places of their sources by target, where each target's begin, and the targets' places part by part."""
-        at, outdeg, to_part, to_at = (table[c].to_numpy() for c in ("at", "outdeg", "to_part", "to_at"))
-        shares = np.zeros(at.max() + 1)
-        shares[at] = 1.0 / outdeg
-        order = np.argsort(to_part.astype(np.int64) << 32 | to_at, kind="stable")
-        to_part, to_at = to_part[order], to_at[order]
-        fresh = np.concatenate([[True], (to_part[1:] != to_part[:-1]) | (to_at[1:] != to_at[:-1])])
-        starts = np.flatnonzero(fresh)
-        parts, first = np.unique(to_part[starts], return_index=True)
-        arrays = {"shares": shares, "sources": at[order].astype(np.int32), "starts": starts.astype(np.int32), "targets": to_at[starts].astype(np.int32),
-                  "to_parts": parts.astype(np.int32), "first": first.astype(np.int32)}
-        return pa.table({"part": table["part"][:1], **{k: pa.array([a.tobytes()], pa.binary()) for k, a in arrays.items()}})
-
-    return pack
-
-
-def _sent(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """What blocks send: a row ``(part, targets, sums)`` for each part that hears of increments above ``least``."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                def array(name, kind=np.int32):
-                    return np.frombuffer(batch.column(name)[i].as_buffer(), kind)
-
-                shares = array("shares", np.float64)
-                delta = array("delta", np.float64)[:len(shares)]
-                flow = np.where(delta > least, delta, 0.0) * shares
-                if not flow.any():
-                    continue
-                sums = np.add.reduceat(flow[array("sources")], array("starts"))
-                targets, first = array("targets"), array("first")
-                parts, where, what = [], [], []
-                for part, low, high in zip(array("to_parts").tolist(), first, [*first[1:], len(targets)]):
-                    heard = np.flatnonzero(sums[low:high])
-                    if len(heard):
-                        parts.append(part)
-                        where.append(targets[low:high][heard].tobytes())
-                        what.append(sums[low:high][heard].tobytes())
-                yield pa.record_batch({"part": pa.array(parts, pa.int32()), "targets": pa.array(where, pa.binary()), "sums": pa.array(what, pa.binary())})
-
-    return send
-
-
-def _added(damp: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """A part's next increments and totals from its state and what was sent to it."""
-
-    def add(state: pa.Table, sent: pa.Table) -> pa.Table:
-        total = np.frombuffer(state["total"][0].as_buffer())
-        delta = np.zeros(len(total))
-        for where, what in zip(sent["targets"], sent["sums"]):
-            delta[np.frombuffer(where.as_buffer(), np.int32)] += np.frombuffer(what.as_buffer())  # no target comes twice in a row
-        delta *= damp
-        return pa.table({"part": state["part"], "delta": pa.array([delta.tobytes()], pa.binary()), "total": pa.array([(total + delta).tobytes()], pa.binary()),
-                         "got": pa.array([np.count_nonzero(delta)], pa.int64())})
-
-    return add
-
-
-def _begun(reset: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, n in zip(batch["part"], batch["n"].to_pylist()):
-                whole = pa.array([np.full(n, reset).tobytes()], pa.binary())
-                yield pa.record_batch({"part": pa.array([part.as_py()], pa.int32()), "delta": whole, "total": whole, "got": pa.array([n], pa.int64())})
-
-    return begin
-
-
-def _unpacked() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, total in zip(batch["part"], batch["total"]):
-                value = np.frombuffer(total.as_buffer())
-                yield pa.record_batch({"part": pa.array(np.full(len(value), part.as_py(), np.int32)), "at": pa.array(np.arange(len(value), dtype=np.int32)), "value": pa.array(value)})
-
-    return unpack
-
-
-def _blocks(e: DataFrame, store: StateStore) -> tuple[DataFrame, DataFrame]:
-    """Vertices ``(id, part, at, outdeg)`` and the blocks of the edges, bucketed by the part of their sources."""
-    ends = e.select(F.col("src").alias("id"), F.lit(1).alias("out")).unionByName(e.select(F.col("dst").alias("id"), F.lit(0).alias("out")))
-    verts, m = store.save(ends.groupBy("id").agg(F.sum("out").alias("outdeg")), "degrees", edges=F.sum("outdeg"))
-    parts = -(-(m["edges"] or 1) // BLOCK_EDGES)
-    verts = verts.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
-    verts = store.save(verts.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("id")) - 1), "vertices")
-    sizes = verts.groupBy("part").agg(F.ceil(F.sum("outdeg") / (2 * BLOCK_EDGES)).alias("blocks")).where("blocks > 1")
-    source = verts.select(F.col("id").alias("src"), "part", "at", "outdeg")
-    target = verts.select(F.col("id").alias("to"), F.col("part").alias("to_part"), F.col("at").alias("to_at"))
-    placed = e.join(target, F.col("dst").eqNullSafe(F.col("to"))).join(source, "src").join(sizes, "part", "left")
-    placed = placed.select("part", F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"), "at", "outdeg", "to_part", "to_at")
-    packed = placed.groupBy("part", "block").applyInArrow(
-        _packed(), "part int, shares binary, sources binary, starts binary, targets binary, to_parts binary, first binary")
-    wide = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return verts, store.save_bucketed(packed, "blocks", ["part"], max(min(wide, parts), -(-parts // PARTS_HELD)))
-
 
 def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None = None,
              reset: float = 0.15, normalize: bool = False, max_iter: int = 10_000, resume: str | None = None) -> DataFrame:
@@ -146,20 +34,19 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
     spark = edges.sparkSession
     store = StateStore(spark, "pagerank", resume=resume)
     e = edges.select("src", "dst")
-    given = [*fingerprint(e), tol, num_iter, reset, BLOCK_EDGES] if resume else None
+    given = [*fingerprint(e), tol, num_iter, reset, B.BLOCK_EDGES] if resume else None
     kept = store.resumed()
     if kept and kept[1]["given"] != given:
         raise ValueError(f"the state named {resume!r} is of other edges or settings")
-    verts, blocks = _blocks(e, store)
+    verts, blocks = B.edge_blocks(e, store)
     damp, least = 1.0 - reset, float("-inf") if tol is None else tol
     rounds = num_iter if num_iter is not None else max_iter
     begun = kept[1]["rounds"] if kept else 0
-    state = kept[0][f"delta{begun - 1}"] if kept else verts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).mapInArrow(_begun(reset), _STATE)
+    state = kept[0][f"delta{begun - 1}"] if kept else B.begun(verts, reset)
     for r in range(begun, rounds):
         if kept and not kept[1]["rows"]:
             break
-        sent = blocks.join(state.select("part", "delta"), "part").mapInArrow(_sent(least), "part int, targets binary, sums binary")
-        state, m = store.save(state.select("part", "total").groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(_added(damp), _STATE), f"delta{r}", rows=F.sum("got"))
+        state, m = store.save(B.a_round(blocks, state, False, least, damp), f"delta{r}", rows=F.sum("got"))
         store.commit([f"delta{r}"], given=given, rounds=r + 1, rows=m["rows"] or 0)
         store.drop(f"delta{r - 2}")
         if not m["rows"]:
@@ -167,7 +54,7 @@ def pagerank(edges: DataFrame, tol: float | None = None, num_iter: int | None =
     else:
         if tol is not None:
             raise RuntimeError(f"pagerank did not reach tol={tol} in {max_iter} rounds")
-    rank = state.select("part", "total").mapInArrow(_unpacked(), "part int, at int, value double").join(verts, ["part", "at"]).select("id", "value")
+    rank = B.totals(state, verts).select("id", "value")
     if normalize:
         total, n = rank.agg(F.sum("value"), F.count(F.lit(1))).first()
         rank = rank.select("id", (F.col("value") * F.lit(n / total if n else 1.0)).alias("value"))
