@@ -1,5 +1,6 @@
 """Nets that tasks take whole: right rows, without a round of jobs a level."""
 
+import heapq
 import random
 from collections import Counter, deque
 
@@ -9,6 +10,7 @@ from graphmill.functions import nets
 from graphmill.functions.state import DeltaLog, StateStore
 from graphmill.operators import multi_source, paths
 from graphmill.operators.closeness import closeness
+from graphmill.operators.delta_stepping import delta_stepping
 
 
 def some_edges(seed=7, n=330):
@@ -80,6 +82,38 @@ def test_pairs_of_many_targets(spark, logs):
     assert "net-edges" in got._jdf.queryExecution().executedPlan().toString()  # rows of pairs are made as they are read
 
 
+def plain_lengths(edges, marks):
+    into, out = {}, {}
+    for a, b, w in edges:
+        into.setdefault(b, []).append((a, w))
+    for m in marks:
+        best, todo = {}, [(0.0, m)]
+        while todo:
+            d, x = heapq.heappop(todo)
+            if x not in best:
+                best[x] = d
+                for y, w in into.get(x, []):
+                    heapq.heappush(todo, (d + w, y))
+        out |= {(v, m): d for v, d in best.items()}
+    return out
+
+
+def test_lengths_inside_tasks(spark, logs, monkeypatch):
+    edges = some_edges() + [(2, 3, 0.0), (2, 3, 5.0), (1001, 1002, 40.0)]
+    ends = sorted({v for a, b, _ in edges for v in (a, b)})
+    marks = ends[:40] + ends[330:350] + ends[-20:]
+    e, want, seeds = frame(spark, edges), plain_lengths(edges, marks), spark.createDataFrame([(m,) for m in marks + [-1]], "id long")
+
+    def rows(df):
+        return {(r["id"], r["landmark"]): r["distance"] for r in df.collect()}
+
+    assert rows(paths.landmark_distances(e, seeds, weighted=True)) == want == rows(delta_stepping(e, seeds)) == rows(delta_stepping(e, seeds, 2.0))
+    assert not logs
+    monkeypatch.setattr(nets, "NET_EDGES", 500)  # the random nets go by tables
+    assert rows(paths.landmark_distances(e, seeds, weighted=True)) == want
+    assert logs
+
+
 def test_null_ends_go_by_rows_and_types_stay(spark, monkeypatch):
     edges = spark.createDataFrame([(a, b) for a, b, _ in some_edges()], "src int, dst int")
     assert nets.Nets.of(edges.unionByName(spark.createDataFrame([(None, 3)], "src int, dst int")), StateStore(spark, "t")) is None
