@@ -8,9 +8,10 @@ import pytest
 
 from graphmill.functions import nets
 from graphmill.functions.state import DeltaLog, StateStore
-from graphmill.operators import multi_source, paths
+from graphmill.operators import louvain, multi_source, paths
 from graphmill.operators.closeness import closeness
 from graphmill.operators.delta_stepping import delta_stepping
+from graphmill.operators.louvain import init_state, louvain_edges
 
 
 def some_edges(seed=7, n=330):
@@ -121,3 +122,22 @@ def test_null_ends_go_by_rows_and_types_stay(spark, monkeypatch):
     assert nets.Nets.of(edges.limit(20), StateStore(spark, "t")) is None
     for df in (multi_source.hop_profile(edges), paths.reach_counts(edges)):
         assert df.schema["id"].dataType.simpleString() == "int"
+
+
+def test_level_inside_tasks(spark, monkeypatch):
+    """A level's moves in groups of nets, and with the whole graph in one, are those of the rounds; work ahead is cut at the right pass."""
+    edges = louvain_edges(frame(spark, [(a, b, w) for a, b, w in some_edges() if a < 2000] + [(3, 3, 2.0)]), "weight")
+    want, rounds = None, []
+    state, e = init_state(edges)
+    m = state.agg({"node_weight": "sum"}).first()[0]
+    for whole, halves in ((0, 4), (500_000, 24)):
+        monkeypatch.setattr(nets, "WHOLE_EDGES", whole)
+        monkeypatch.setattr(louvain, "HALVES", halves)
+        with monkeypatch.context() as quiet:
+            quiet.setattr(louvain, "heard", lambda *a: rounds.append(a))
+            q, after, passes = louvain.louvain_level(state, e, m, StateStore(spark, "t"))
+        got = (round(q, 9), passes, sorted(tuple(r) for r in after.select("id", "community", "sigma_tot", "changed").collect()))
+        assert not rounds and want in (None, got)
+        want = got
+    q, after, passes = louvain.louvain_level(state, e, m, StateStore(spark, "t"), trace=[])
+    assert want == (round(q, 9), passes, sorted(tuple(r) for r in after.select("id", "community", "sigma_tot", "changed").collect()))
