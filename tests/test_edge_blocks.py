@@ -110,3 +110,13 @@ def test_odd_weights_go_by_rows(spark):
     assert got == {(3, 3): 0.0, (2, 3): 1.0, (4, 4): 0.0, (3, 4): inf, (2, 4): inf}
     with pytest.raises(ValueError, match="negative"):
         paths.landmark_distances(spark.createDataFrame([(1, 2, -1.0)], "src long, dst long, weight double"), spark.range(3), weighted=True)
+
+
+def test_nothing_by_vertex_is_broadcast(spark, demo, monkeypatch):
+    """Small files may unpack to a row a vertex: no round and no result collects them on the driver."""
+    plans = []
+    for name in ("a_round", "totals"):
+        real = getattr(blocks, name)
+        monkeypatch.setattr(blocks, name, lambda *a, _real=real, **k: plans.append(_real(*a, **k)) or plans[-1])
+    assert paths.mean_path_length(demo, spark.range(1, 2)).count() == 1
+    assert len(plans) > 2 and not any("Broadcast" in p._jdf.queryExecution().executedPlan().toString() for p in plans)
